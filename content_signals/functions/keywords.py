@@ -1,14 +1,21 @@
-"""Keywords of a source row."""
+"""Keywords of a source row.
+
+A keyword is a lower-case run of letters a-z and digits of more than two
+characters that is not a stop word.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from content_signals.constants import STOPWORDS
-from content_signals.functions.text import trim_ws
 
 KEYWORD_COLUMNS = ["title", "notes", "source_url", "niche"]
 
+_FIRST = (
+    r"(?<![a-z0-9])(?!(?:" + "|".join(STOPWORDS) + r")(?![a-z0-9]))[a-z0-9]{3,}"
+)
+
 
 def keyword_text(df: DataFrame, nan_as_token: bool = False) -> Column:
     """Title, notes, URL and niche joined by blanks; absent columns count as blank.
@@ -21,13 +28,23 @@ def keyword_text(df: DataFrame, nan_as_token: bool = False) -> Column:
         F.coalesce(F.col(c).cast("string"), blank) if c in df.columns else F.lit("")
         for c in KEYWORD_COLUMNS
     ]
-    return trim_ws(F.concat_ws(" ", *parts))
+    return F.concat_ws(" ", *parts)
+
+
+def words(text: Column) -> Column:
+    """All letter/digit runs in lower case, keywords or not."""
+    return F.split(F.lower(text), "[^a-z0-9]+")
+
+
+def is_keyword(word: Column) -> Column:
+    return (F.length(word) > 2) & ~word.isin(STOPWORDS)
 
 
 def keywords(text: Column) -> Column:
-    """Lower-case letter/digit words of more than two characters, stop words left out.
+    """The keywords in order, with repeats."""
+    return F.filter(words(text), is_keyword)
 
-    Order and repeats are kept.
-    """
-    words = F.split(F.lower(text), "[^a-z0-9]+")
-    return F.filter(words, lambda w: (F.length(w) > 2) & ~w.isin(STOPWORDS))
+
+def first_keyword(text: Column) -> Column:
+    """The first keyword or null; the rest of the text is not read."""
+    return F.nullif(F.regexp_extract(F.lower(text), _FIRST, 0), F.lit(""))

@@ -58,6 +58,6 @@ def pending_fetches(
     per key before they are joined, so repeated keys do no harm.
     """
     now = F.lit(as_of).cast("timestamp")
-    age = (F.unix_micros(now) - F.unix_micros("fetched_at")) / 1_000_000
+    age = (F.unix_micros(now) - F.unix_micros(F.col("fetched_at").cast("timestamp"))) / 1_000_000
     fresh = log.filter(age <= ttl_seconds).select(*keys).distinct()
     return requests.select(*keys).distinct().join(fresh, keys, "left_anti")

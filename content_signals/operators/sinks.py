@@ -18,16 +18,22 @@ def _csv_cell(field: T.StructField, bool_style: str) -> Column:
     return col
 
 
-def write_csv(df: DataFrame, path: str, bool_style: str = "title") -> str:
-    """UTF-8 CSV with header, replacing what is there.
+def write_csv(
+    df: DataFrame, path: str, bool_style: str = "title", mode: str = "overwrite"
+) -> str:
+    """UTF-8 CSV with header, by default replacing what is there.
 
     Quotes are doubled and cells may hold line breaks. ``bool_style``: ``title``
     writes True/False, ``lower`` true/false. The order column is left out.
     """
     cells = [_csv_cell(f, bool_style) for f in df.schema.fields if f.name != ORD]
-    writer = df.select(*cells).write.mode("overwrite").option("header", True)
-    writer = writer.option("escape", '"').option("encoding", "UTF-8")
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    df.select(*cells).write.mode(mode).options(
+        header=True,
+        escape='"',
+        encoding="UTF-8",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
     return path
 
 

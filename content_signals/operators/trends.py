@@ -14,9 +14,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from content_signals.constants import DATE_COLUMNS, ORD, TREND_WEIGHTS
-from content_signals.functions.keywords import keyword_text, keywords
+from content_signals.functions.keywords import (
+    first_keyword,
+    is_keyword,
+    keyword_text,
+    keywords,
+    words,
+)
 from content_signals.functions.text import trim_ws
-from content_signals.plans.skew import lookup_join
+from content_signals.plans.skew import fits_broadcast, lookup_join
 from content_signals.plans.staging import stage
 
 NEUTRAL = 0.5
@@ -65,42 +71,50 @@ def extract_keywords(df: DataFrame, name: str = "keywords", nan_as_token: bool =
 
 def token_counts(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
     """``(token, n)``: occurrences of each keyword in the whole table."""
-    tokens = extract_keywords(df, "_tokens", nan_as_token).select(F.explode("_tokens").alias("token"))
-    return tokens.groupBy("token").agg(F.count("*").alias("n"))
+    found = df.select(F.explode(words(keyword_text(df, nan_as_token))).alias("token"))
+    return found.filter(is_keyword(F.col("token"))).groupBy("token").agg(F.count("*").alias("n"))
 
 
-def _theme(df: DataFrame) -> Column:
+def _theme(df: DataFrame, nan_as_token: bool) -> Column:
+    """The first keyword, else the niche in upper case, else UNKNOWN."""
     niche = F.coalesce(F.col("niche"), F.lit("")) if "niche" in df.columns else F.lit("")
     fallback = F.upper(F.coalesce(F.nullif(niche, F.lit("")), F.lit("UNKNOWN")))
-    return F.coalesce(F.get(F.col("_tokens"), F.lit(0)), fallback)
+    return F.coalesce(first_keyword(keyword_text(df, nan_as_token)), fallback)
 
 
 def signal_counts(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
-    """``(key, is_token, n, n_theme)``: uses as a keyword and as a row's theme.
+    """``(is_theme, key, n)``: occurrences of each keyword, and rows of each theme.
 
-    A row's theme is its first keyword, or its niche if it has none. Both counts
-    come out of one pass, summed before the shuffle. A niche used as a theme is
-    in upper case and so never equals a keyword.
+    Both come out of one pass, summed before the shuffle: a row's theme joins its
+    words with a mark that no keyword can hold.
     """
-    rows = extract_keywords(df, "_tokens", nan_as_token).withColumn("_fallback", _theme(df))
-    uses = rows.select("_fallback", F.posexplode_outer("_tokens").alias("place", "token"))
-    return uses.groupBy(
-        F.coalesce("token", "_fallback").alias("key"), F.col("token").isNotNull().alias("is_token")
-    ).agg(
-        F.count("*").alias("n"),
-        F.count_if(F.coalesce("place", F.lit(0)) == 0).alias("n_theme"),
+    mark = "="
+    theme = F.concat(F.lit(mark), _theme(df, nan_as_token))
+    marked = df.select(
+        F.explode(F.concat(words(keyword_text(df, nan_as_token)), F.array(theme))).alias("key")
+    )
+    is_theme = F.col("key").startswith(mark)
+    counted = marked.filter(is_theme | is_keyword(F.col("key"))).groupBy("key").agg(
+        F.count("*").alias("n")
+    )
+    return counted.select(
+        is_theme.alias("is_theme"),
+        F.when(is_theme, F.right("key", F.length("key") - 1)).otherwise(F.col("key")).alias("key"),
+        "n",
     )
 
 
-def _score_frequency(rows: DataFrame, counts: DataFrame, hot_keywords: int) -> DataFrame:
-    """Score rows that carry ``_tokens``; ``counts`` is the staged ``signal_counts``.
+def _score_frequency(
+    df: DataFrame, counts: DataFrame, hot_keywords: int, nan_as_token: bool
+) -> DataFrame:
+    """Add ``frequency_score``; ``counts`` is the staged ``signal_counts``.
 
     A row's dominant keyword is nearly always among the most frequent ones. They
-    are few, so they are looked up without any shuffle, most frequent first. Only
-    rows with none of them go through a join on keyword, in which therefore no
-    key is hot.
+    are few, so a row is matched against them in place, most frequent first, with
+    no shuffle. Rows that hold none of them are scored beforehand by a join on
+    keyword, in which therefore no key is hot; only their scores are joined back.
     """
-    tokens = counts.filter("is_token").select(F.col("key").alias("token"), "n")
+    tokens = counts.filter("not is_theme").select(F.col("key").alias("token"), "n")
     top = tokens.orderBy(F.desc("n"), "token").limit(hot_keywords)
     ranked = F.sort_array(F.collect_list(F.struct(F.col("n"), F.col("token"))), asc=False)
     hot = top.agg(
@@ -109,35 +123,41 @@ def _score_frequency(rows: DataFrame, counts: DataFrame, hot_keywords: int) -> D
             F.transform(ranked, lambda x: x["n"]).alias("n"),
         )
     ).scalar()
-    best = F.get(F.array_intersect(hot["token"], F.col("_tokens")), F.lit(0))
-    placed = rows.withColumn(
-        "_hot", F.when(F.size("_tokens") > 0, F.array_position(hot["token"], best))
-    )
+    text = keyword_text(df, nan_as_token)
+    best = F.get(F.array_intersect(hot["token"], words(text)), F.lit(0))
+    place = F.array_position(hot["token"], best)
     highest = F.get(hot["n"], F.lit(0))
-    direct = F.get(hot["n"], (F.col("_hot") - 1).cast("int")) / highest
-    settled = F.col("_hot").isNotNull() | (F.size("_tokens") == 0)
-    scored = placed.withColumn("frequency_score", F.coalesce(direct, F.lit(NEUTRAL)))
+    direct = F.get(hot["n"], (place - 1).cast("int")) / highest
+    neutral = F.lit(NEUTRAL)
     if tokens.count() <= hot_keywords:
-        return scored.drop("_hot")
+        return df.withColumn("frequency_score", F.coalesce(direct, neutral))
 
-    cold = placed.filter(~settled)
-    dominant = (
-        cold.select(ORD, F.explode(F.array_distinct("_tokens")).alias("token"))
+    cold = df.select(ORD, text.alias("_text")).filter(
+        first_keyword(F.col("_text")).isNotNull()
+        & ~F.arrays_overlap(words(F.col("_text")), hot["token"])
+    )
+    scores = stage(
+        cold.select(ORD, F.explode(F.array_distinct(words(F.col("_text")))).alias("token"))
         .join(tokens, "token")
         .groupBy(ORD)
-        .agg((F.max("n") / highest).alias("frequency_score"))
-    )
-    return scored.filter(settled).unionByName(cold.join(dominant, ORD)).drop("_hot")
-
-
-def _score_themes(rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """Score rows that carry ``_tokens`` by how often their theme occurs."""
-    themes = counts.filter(F.col("n_theme") > 0).select(
-        F.col("key").alias("_theme"), F.col("n_theme").alias("n")
+        .agg((F.max("n") / highest).alias("_cold")),
+        "cold-scores",
     )
+    if scores.isEmpty():
+        return df.withColumn("frequency_score", F.coalesce(direct, neutral))
+    # _ord is unique, so a shuffle by it is even
+    joined = df.join(F.broadcast(scores) if fits_broadcast(scores) else scores, ORD, "left")
+    return joined.withColumn(
+        "frequency_score", F.coalesce(F.col("_cold"), direct, neutral)
+    ).drop("_cold")
+
+
+def _score_themes(df: DataFrame, counts: DataFrame, nan_as_token: bool) -> DataFrame:
+    """Add ``multi_source_score``; ``counts`` is the staged ``signal_counts``."""
+    themes = counts.filter("is_theme").select(F.col("key").alias("_theme"), "n")
     highest = themes.agg(F.max("n").alias("n")).scalar()
     scores = themes.select("_theme", (F.col("n") / highest).alias("multi_source_score"))
-    themed = rows.withColumn("_theme", _theme(rows))
+    themed = df.withColumn("_theme", _theme(df, nan_as_token))
     return lookup_join(themed, scores, ["_theme"], "inner", counts=themes).drop("_theme")
 
 
@@ -147,14 +167,14 @@ def frequency_score(
     """Add ``frequency_score``: count of the row's most frequent keyword over the
     highest count of any; 0.5 for a row without keywords."""
     counts = stage(signal_counts(df, nan_as_token), "signal-counts")
-    rows = extract_keywords(df, "_tokens", nan_as_token)
-    return _score_frequency(rows, counts, hot_keywords).drop("_tokens")
+    return _score_frequency(df, counts, hot_keywords, nan_as_token)
 
 
 def multi_source_score(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
     """Add ``multi_source_score``: rows with the row's theme over rows with the top theme."""
-    counts = stage(signal_counts(df, nan_as_token), "signal-counts")
-    return _score_themes(extract_keywords(df, "_tokens", nan_as_token), counts).drop("_tokens")
+    theme = _theme(df, nan_as_token).alias("key")
+    themes = df.groupBy(theme).agg(F.count("*").alias("n")).withColumn("is_theme", F.lit(True))
+    return _score_themes(df, stage(themes, "theme-counts"), nan_as_token)
 
 
 def weighted_score(df: DataFrame) -> DataFrame:
@@ -177,9 +197,9 @@ def trend_score(
 ) -> DataFrame:
     """Add the three sub-scores and ``trend_score``; needs ``_ord``."""
     counts = stage(signal_counts(df, nan_as_token), "signal-counts")
-    rows = extract_keywords(recency_score(df, as_of), "_tokens", nan_as_token)
-    themed = _score_themes(rows, counts)
-    return weighted_score(_score_frequency(themed, counts, hot_keywords)).drop("_tokens")
+    dated = recency_score(df, as_of)
+    themed = _score_themes(dated, counts, nan_as_token)
+    return weighted_score(_score_frequency(themed, counts, hot_keywords, nan_as_token))
 
 
 def priority_level(df: DataFrame) -> DataFrame:

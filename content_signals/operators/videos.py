@@ -105,12 +105,14 @@ def master_projection(
     rights: str = "",
     usage_strategy: str = "",
     carry: list[str] | None = None,
+    canonical: bool = False,
 ) -> DataFrame:
     """The strict six source columns with canonical URLs; unresolved rows go.
 
     ``carry`` names further columns to keep, such as the title or the order.
+    ``canonical`` says that the URLs are canonical already.
     """
-    url = canonical_watch_url(F.col("source_url"))
+    url = F.col("source_url") if canonical else canonical_watch_url(F.col("source_url"))
     defaults = {"niche": niche, "lang": lang, "rights": rights, "usage_strategy": usage_strategy}
     return df.select(
         url.alias("source_url"),

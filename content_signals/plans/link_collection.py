@@ -21,7 +21,8 @@ def links_to_master(
     projection leaves them so; a second one would change nothing.
     """
     unique = dedup_by_watch_url(records)
-    return pad_to_minimum(master_projection(unique, carry=carry, **defaults), minimum)
+    master = master_projection(unique, carry=carry, canonical=True, **defaults)
+    return pad_to_minimum(master, minimum)
 
 
 def collect_links(records: DataFrame, path: str, **options) -> str:
