@@ -7,36 +7,55 @@ from pyspark.sql import Column, functions as F
 from content_signals.functions.text import trim_ws
 
 _ANCHOR = r"(?is)<a\s[^>]*>.*?(?=</a\s*>|<a\s|$)"
-_HREF = r"(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
-_TITLE = r"(?is)^<a\s(?:[^>]*?\s)?title\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
-_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"),
-             ("&amp;", "&")]
+_VALUE = r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+_HREF = r"(?is)^<a\s(?:[^>]*?\s)?href" + _VALUE
+_TITLE = r"(?is)^<a\s(?:[^>]*?\s)?title" + _VALUE
+_ENTITIES = [
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&#39;", "'"),
+    ("&nbsp;", "\xa0"),
+    ("&amp;", "&"),
+]
 
 
 def decode_entities(col: Column) -> Column:
+    out = col
     for name, char in _ENTITIES:
-        col = F.replace(col, F.lit(name), F.lit(char))
-    return col
-
-
-def _attribute(anchor: Column, pattern: str) -> Column:
-    # Only one of the three quoting styles matches; the others give ''.
-    return decode_entities(
-        F.concat(*[F.regexp_extract(anchor, pattern, group) for group in (1, 2, 3)])
+        out = F.replace(out, F.lit(name), F.lit(char))
+    return F.when(col.contains("&"), out).otherwise(col)
+
+
+def _unquote(value: Column) -> Column:
+    quoted = value.startswith('"') | value.startswith("'")
+    bare = F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+    return decode_entities(bare)
+
+
+def anchors(html: Column, part: str = "") -> Column:
+    """``(href, title)`` of every anchor that holds ``part``, in page order.
+
+    The title is the title attribute, else the anchor's text without markup. Each
+    step is an array of its own, so that an element is worked out only once.
+    """
+    found = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0))
+    if part:
+        found = F.filter(found, lambda a: a.contains(part))
+    raw = F.transform(
+        found,
+        lambda a: F.struct(
+            F.regexp_extract(a, _HREF, 1).alias("href"),
+            F.regexp_extract(a, _TITLE, 1).alias("title"),
+            F.regexp_replace(a, r"(?is)^<a\s[^>]*>|\s*<[^>]*>\s*", "").alias("text"),
+        ),
+    )
+    return F.transform(
+        raw,
+        lambda x: F.struct(
+            _unquote(x["href"]).alias("href"),
+            F.when(F.length(x["title"]) > 2, _unquote(x["title"]))
+            .otherwise(trim_ws(decode_entities(x["text"])))
+            .alias("title"),
+        ),
     )
-
-
-def anchors(html: Column) -> Column:
-    """Every ``<a ...>text`` of the page, in page order."""
-    return F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0))
-
-
-def anchor_href(anchor: Column) -> Column:
-    return _attribute(anchor, _HREF)
-
-
-def anchor_title(anchor: Column) -> Column:
-    """The title attribute, else the anchor's text with markup taken out."""
-    body = F.regexp_replace(anchor, r"(?is)^<a\s[^>]*>", "")
-    text = trim_ws(decode_entities(F.regexp_replace(body, r"(?s)\s*<[^>]*>\s*", "")))
-    return F.coalesce(F.nullif(_attribute(anchor, _TITLE), F.lit("")), text)

@@ -20,7 +20,7 @@ def query_value(url: Column, name: str) -> Column:
     """First non-blank value of a query parameter, decoded; null if there is none."""
     raw = F.regexp_extract(url, r"^[^?#]*\?(?:[^#]*?&)?" + name + r"=([^&#]+)", 1)
     plain = F.replace(raw, F.lit("+"), F.lit(" "))
-    return F.when(raw != "", F.coalesce(F.try_url_decode(raw), plain))
+    return F.nullif(F.coalesce(F.try_url_decode(raw), plain), F.lit(""))
 
 
 def extract_video_id(href: Column) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from content_signals.constants import DEFAULT_MAX_RESULTS, WATCH_PREFIX
-from content_signals.functions.html import anchor_href, anchor_title, anchors
+from content_signals.functions.html import anchors
 from content_signals.functions.urls import canonical_watch_url
 
 WATCH_LINK = "/watch?v="
@@ -67,18 +67,25 @@ def extract_page_links(
             ),
         )
     else:
-        linked = F.filter(anchors(F.col("html")), lambda a: a.contains(link_part))
-
-        def link(a: Column) -> Column:
-            href = anchor_href(a)
-            url = canonical_watch_url(href) if canonical else F.nullif(href, F.lit(""))
-            keep = href.contains(link_part)
-            return F.struct(F.when(keep, url).alias("source_url"), anchor_title(a).alias("title"))
-
-        found = F.filter(F.transform(linked, link), lambda x: x["source_url"].isNotNull())
+        linked = F.filter(
+            anchors(F.col("html"), link_part), lambda x: x["href"].contains(link_part)
+        )
+        resolved = F.transform(
+            linked,
+            lambda x: F.struct(
+                (
+                    canonical_watch_url(x["href"]) if canonical else F.nullif(x["href"], F.lit(""))
+                ).alias("source_url"),
+                x["title"].alias("title"),
+            ),
+        )
+        found = F.filter(resolved, lambda x: x["source_url"].isNotNull())
     firsts = F.col("_links") if max_results is None else F.slice("_links", 1, max_results)
+    # The outer variant: for the inner one Catalyst filters on the size of the array,
+    # and to do so works out all of the above once more.
     return (
         _first_per_url(df.select("page_id", found.alias("_links")))
-        .select("page_id", F.posexplode(firsts).alias("pos", "_link"))
+        .select("page_id", F.posexplode_outer(firsts).alias("pos", "_link"))
+        .filter(F.col("_link").isNotNull())
         .select("page_id", "pos", F.col("_link.source_url"), F.col("_link.title"))
     )

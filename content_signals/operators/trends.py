@@ -3,6 +3,9 @@
 The corpus is read once to count keywords and themes together; the counts are
 staged as a table (one row per distinct keyword) and the rows are then scored
 against it. No window runs over the whole corpus and no count reaches the driver.
+
+Words are exploded with the outer variant throughout: for the inner one Catalyst
+adds a filter on the array's size, which would cut the text into words twice.
 """
 
 from __future__ import annotations
@@ -71,7 +74,7 @@ def extract_keywords(df: DataFrame, name: str = "keywords", nan_as_token: bool =
 
 def token_counts(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
     """``(token, n)``: occurrences of each keyword in the whole table."""
-    found = df.select(F.explode(words(keyword_text(df, nan_as_token))).alias("token"))
+    found = df.select(F.explode_outer(words(keyword_text(df, nan_as_token))).alias("token"))
     return found.filter(is_keyword(F.col("token"))).groupBy("token").agg(F.count("*").alias("n"))
 
 
@@ -91,7 +94,7 @@ def signal_counts(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
     mark = "="
     theme = F.concat(F.lit(mark), _theme(df, nan_as_token))
     marked = df.select(
-        F.explode(F.concat(words(keyword_text(df, nan_as_token)), F.array(theme))).alias("key")
+        F.explode_outer(F.concat(words(keyword_text(df, nan_as_token)), F.array(theme))).alias("key")
     )
     is_theme = F.col("key").startswith(mark)
     counted = marked.filter(is_theme | is_keyword(F.col("key"))).groupBy("key").agg(
@@ -132,15 +135,14 @@ def _score_frequency(
     if tokens.count() <= hot_keywords:
         return df.withColumn("frequency_score", F.coalesce(direct, neutral))
 
-    cold = df.select(ORD, text.alias("_text")).filter(
-        first_keyword(F.col("_text")).isNotNull()
-        & ~F.arrays_overlap(words(F.col("_text")), hot["token"])
+    # Not a filter on cold rows, which would be worked out once more below the explode.
+    found = words(F.col("_text"))
+    unmatched = F.when(~F.arrays_overlap(found, hot["token"]), F.array_distinct(found))
+    cold = df.select(ORD, text.alias("_text")).select(
+        ORD, F.explode_outer(unmatched).alias("token")
     )
     scores = stage(
-        cold.select(ORD, F.explode(F.array_distinct(words(F.col("_text")))).alias("token"))
-        .join(tokens, "token")
-        .groupBy(ORD)
-        .agg((F.max("n") / highest).alias("_cold")),
+        cold.join(tokens, "token").groupBy(ORD).agg((F.max("n") / highest).alias("_cold")),
         "cold-scores",
     )
     if scores.isEmpty():

@@ -34,20 +34,18 @@ def _read_sections(spark: SparkSession, paths: list[str], json_lines: bool) -> D
     raise FileNotFoundError(f"no template file: {' or '.join(paths)}")
 
 
-def _raise_on(df: DataFrame, fault: Column, message: str) -> None:
-    if not df.filter(fault).isEmpty():
-        raise ValueError(message)
-
-
 def _checked(raw: DataFrame) -> DataFrame:
-    """Raw sections to typed columns; the checks run on the template table alone."""
-    for section in _SECTIONS:
-        _raise_on(raw, F.col(section).isNull(), f"missing template section: {section}")
-    _raise_on(raw, ~F.col("base_prompt").startswith("{"), "base_prompt must be an object")
+    """Raw sections to typed columns. One small job over the templates finds all faults."""
     base = raw.withColumn(
         "_base", F.from_json("base_prompt", "role string, rules string, format string")
     )
-    _raise_on(base, ~F.col("_base.rules").startswith("["), "base_prompt.rules must be a list")
+    faults = {f"missing template section: {s}": F.col(s).isNull() for s in _SECTIONS}
+    faults["base_prompt must be an object"] = ~F.col("base_prompt").startswith("{")
+    faults["base_prompt.rules must be a list"] = ~F.col("_base.rules").startswith("[")
+    found = base.agg(*[F.count_if(fault) for fault in faults.values()]).first()
+    for message, count in zip(faults, found):
+        if count:
+            raise ValueError(message)
     rules = F.from_json(F.col("_base.rules"), "array<string>")
     return base.select(
         "template",
