@@ -64,9 +64,10 @@ def read_sources_dir(spark, sf_dir):
     """Two groups of CSV files with differing headers in one folder."""
     path = new_path(spark, "sources-dir")
     given = t.sources(spark, sf_dir).drop("notes")
-    for part, columns in ((0, ["title", "niche"]), (1, ["niche", "lang", "rights"])):
-        rows = given.filter(F.col(ORD) % 2 == part).select("source_url", *columns)
-        w.write_csv(rows, path, mode="append")
+    titled = F.col("title") != ""
+    w.write_csv(given.filter(titled).select("source_url", "title", "niche"), path)
+    untitled = given.filter(~titled).select("source_url", "niche", "lang", "rights")
+    w.write_csv(untitled, path, mode="append")
     out = csv_files.read_sources_dir(spark, path, "part-*.csv", mixed_headers=True)
     named = F.col("source_file").startswith("part-").alias("from_part")
     return out.select("source_url", "title", "niche", "lang", "rights", named)
@@ -77,7 +78,7 @@ def read_query_specs(spark, sf_dir):
     """A spec per document, with blank and junk cells, by way of CSV."""
     key = F.col(ORD)
     specs = t.sources(spark, sf_dir).select(
-        F.when(key % 10 == 0, "  ").otherwise(F.concat(F.lit(" topic "), key)).alias("query"),
+        F.when(F.col("lang") == "de", "  ").otherwise(F.concat(F.lit(" topic "), key)).alias("query"),
         F.when(key % 4 == 0, " high ").when(key % 4 == 1, "").otherwise("Low").alias("priority"),
         F.element_at(F.array(*map(F.lit, ["0", "abc", "-1", "15", ""])), (key % 5 + 1).cast("int"))
         .alias("max_results"),
@@ -114,11 +115,9 @@ def video_items_from_json(spark, sf_dir):
 @query
 def ingest_link_drops(spark, sf_dir):
     """Page URLs and junk lines as dropped text files, taken in by a stream."""
-    lines = t.pages(spark, sf_dir).select(
-        F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("see "), "url"))
-        .otherwise(F.concat(F.lit("  "), "url", F.lit("\t")))
-        .alias("value")
-    )
+    link = F.concat(F.lit("  "), "url", F.lit("\t"))
+    junk = F.concat(F.lit("see "), "url")
+    lines = t.pages(spark, sf_dir).select(F.explode(F.array(link, junk, F.lit(""))).alias("value"))
     folder = new_path(spark, "drops")
     lines.write.text(folder)
     table = new_path(spark, "dropped-sources")
@@ -175,7 +174,7 @@ def first_pages_per_query(spark, sf_dir):
 @query
 def concat_collections(spark, sf_dir):
     videos = _videos(spark, sf_dir)
-    blank = F.when(F.col(ORD) % 3 == 0, " ")
+    blank = F.when(F.col("views") < 5000, " ")
     parts = [
         videos.select(source.alias("source"), "id", ORD)
         for source in (
@@ -592,15 +591,17 @@ def query_stats(spark, sf_dir):
 def run_summary(spark, sf_dir):
     videos = _videos(spark, sf_dir)
     unique = d.dedup_video_ids(videos)
-    calls = r.quota_estimate(_search_log(spark, sf_dir), r.id_batches(videos))
+    quota = r.quota_estimate(_search_log(spark, sf_dir), r.id_batches(videos))
+    names = ["search_calls", "video_calls", "quota_units"]
+    sums = quota.agg(F.struct(*[F.sum(x).alias(x) for x in names])).scalar()
     return v.run_summary(
         {
             "global_ids_collected": d.distinct_ids(videos),
             "rows_after_dedup": unique,
             "rows_after_quality_filter": v.quality_filter(unique),
-            "api_search_calls": calls.agg(F.sum("search_calls").alias("n")).scalar(),
-            "api_videos_calls": calls.agg(F.sum("video_calls").alias("n")).scalar(),
-            "quota_units_estimated": calls.agg(F.sum("quota_units").alias("n")).scalar(),
+            "api_search_calls": sums["search_calls"],
+            "api_videos_calls": sums["video_calls"],
+            "quota_units_estimated": sums["quota_units"],
         }
     )
 
@@ -653,10 +654,10 @@ def top_n_for_review(spark, sf_dir):
 def check_columns(spark, sf_dir):
     """All checks of a run's outputs; the row count to expect is that of the distinct URLs."""
     sources = t.sources(spark, sf_dir)
-    prepared = _prepared(spark, sf_dir)
+    prompts = stage(o.prompts_projection(_prepared(spark, sf_dir)), "prompts")
     master = v.master_projection(sources)
     expected = sources.agg(F.count_distinct("source_url").alias("n")).scalar()
-    ready, prompts = o.ready_projection(prepared), o.prompts_projection(prepared)
+    ready = o.ready_projection(prompts)
     return checks.check_outputs(ready, prompts, master, expected)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from content_signals.constants import DEFAULT_MAX_RESULTS, WATCH_PREFIX
+from content_signals.constants import PAGE_SIZE, WATCH_PREFIX
 from content_signals.functions.html import anchors
 from content_signals.functions.urls import canonical_watch_url
 
@@ -45,7 +45,7 @@ def _first_per_url(df: DataFrame) -> DataFrame:
 def extract_page_links(
     df: DataFrame,
     link_part: str = WATCH_LINK,
-    max_results: int | None = DEFAULT_MAX_RESULTS,
+    max_results: int | None = PAGE_SIZE,
     canonical: bool = True,
     raw_pattern: bool = False,
 ) -> DataFrame:

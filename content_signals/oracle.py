@@ -313,23 +313,23 @@ SQL["add_defaults"] = _with(
 )
 SQL["read_sources_dir"] = _with(
     _SRC,
-    """SELECT source_url, CASE WHEN ord % 2 = 0 THEN nullif(title, '') END AS title,
-  nullif(niche, '') AS niche, CASE WHEN ord % 2 = 1 THEN lang END AS lang,
-  CASE WHEN ord % 2 = 1 THEN nullif(rights, '') END AS rights, true AS from_part FROM src""",
+    """SELECT source_url, nullif(title, '') AS title, nullif(niche, '') AS niche,
+  CASE WHEN title = '' THEN lang END AS lang,
+  CASE WHEN title = '' THEN nullif(rights, '') END AS rights, true AS from_part FROM src""",
 )
 SQL["read_query_specs"] = """
 SELECT 'topic ' || CAST(doc_id AS VARCHAR) AS query,
   CASE doc_id % 4 WHEN 0 THEN 'HIGH' WHEN 1 THEN 'MEDIUM' ELSE 'LOW' END AS priority,
   CAST(CASE doc_id % 5 WHEN 2 THEN -1 WHEN 3 THEN 15 ELSE 30 END AS BIGINT) AS max_results,
   CASE WHEN doc_id % 3 = 0 THEN 0 ELSE doc_id END AS min_views
-FROM documents WHERE doc_id % 10 <> 0"""
+FROM documents WHERE lang <> 'de'"""
 SQL["video_items_from_json"] = _with(
     _VIDEO,
     """SELECT query, 'https://www.youtube.com/watch?v=' || id AS source_url, title, published_at,
   channel, id FROM vid WHERE id <> ''""",
 )
 SQL["ingest_link_drops"] = """
-SELECT url AS source_url, 'MOTIVATION' AS niche, false AS processed FROM pages WHERE page_id % 5 <> 0"""
+SELECT url AS source_url, 'MOTIVATION' AS niche, false AS processed FROM pages"""
 
 # --- dedup, padding, limits ------------------------------------------------
 
@@ -373,7 +373,7 @@ SQL["first_pages_per_query"] = _with(
 SQL["concat_collections"] = _with(
     _VIDEO,
     """SELECT query AS source, id, 0 AS kind, ord AS event_id FROM vid
-UNION ALL SELECT channel, id, 1, ord FROM vid WHERE ord % 3 <> 0
+UNION ALL SELECT channel, id, 1, ord FROM vid WHERE views >= 5000
 UNION ALL SELECT 'list-' || categoryId, id, 2, ord FROM vid""",
 )
 
@@ -483,7 +483,7 @@ _WATCH_HIT = """watch_hit AS (
 SQL["extract_watch_links"] = _with(
     f"{_ANCHORS}, {_WATCH_HIT}",
     """SELECT page_id, CAST(place - 1 AS INTEGER) AS pos, source_url, title FROM watch_placed
-WHERE place <= 30""",
+WHERE place <= 50""",
 )
 SQL["extract_raw_watch_links"] = _with(
     f"""{_ANCHORS}, raw_link AS (
@@ -496,7 +496,7 @@ SQL["extract_raw_watch_links"] = _with(
 )""",
     """SELECT page_id, CAST(place - 1 AS INTEGER) AS pos,
   'https://www.youtube.com/watch?v=' || v AS source_url, '' AS title
-FROM raw_placed WHERE place <= 30""",
+FROM raw_placed WHERE place <= 50""",
 )
 # Percent-encoding of UTF-8 text with a plus for a blank; only - _ . ~ stay besides letters, digits.
 SQL["search_urls"] = """

@@ -10,6 +10,7 @@ from content_signals.operators.dedup import dedup_by_watch_url, keep_first, pad_
 from content_signals.operators.sinks import write_master
 from content_signals.operators.videos import master_projection
 from content_signals.plans.skew import lookup_join
+from content_signals.plans.staging import stage
 
 
 def links_to_master(
@@ -18,11 +19,12 @@ def links_to_master(
     """Strict source rows of the records' videos, each once, at least ``minimum``.
 
     The URLs are canonical and unique after the first deduplication, and the
-    projection leaves them so; a second one would change nothing.
+    projection leaves them so; a second one would change nothing. The rows are
+    staged, since padding looks at them twice.
     """
     unique = dedup_by_watch_url(records)
     master = master_projection(unique, carry=carry, canonical=True, **defaults)
-    return pad_to_minimum(master, minimum)
+    return pad_to_minimum(stage(master, "master"), minimum)
 
 
 def collect_links(records: DataFrame, path: str, **options) -> str:

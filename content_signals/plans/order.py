@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from content_signals.constants import ORD
+from content_signals.plans.staging import stage
 
 BUCKET_ROWS = 1_000_000
 PAGE_ROWS = 100  # rows to expect of one landed page
@@ -40,25 +41,26 @@ def _bucket(col: Column, kind: T.DataType, rows: int) -> Column:
     return F.struct(*head, _bucket(col[last.name], last.dataType, rows).alias(last.name))
 
 
-def add_position(
-    df: DataFrame, groups: list[str], name: str = "position", bucket_rows: int = BUCKET_ROWS
-) -> DataFrame:
-    """Number the rows of each group 1, 2, ... in input order.
-
-    A window over the whole group would sort a hot group in one task. Here the
-    group is cut into order buckets of bounded size; a row's number is the
-    count of rows in earlier buckets plus its place within its own.
-    """
+def _bucketed(df: DataFrame, groups: list[str], rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``_group`` and ``_bucket``, and the staged row count of each bucket."""
     keyed = df.withColumn("_group", F.struct(*groups)).withColumn(
-        "_bucket", _bucket(F.col(ORD), df.schema[ORD].dataType, bucket_rows)
+        "_bucket", _bucket(F.col(ORD), df.schema[ORD].dataType, rows)
     )
     sizes = keyed.groupBy("_group", "_bucket").agg(F.count("*").alias("_rows"))
+    return keyed, stage(sizes, "bucket-sizes")
+
+
+def _starts(sizes: DataFrame) -> DataFrame:
+    """Rows of the group before each bucket."""
     earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = sizes.select(
+    return sizes.select(
         "_group", "_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
     )
+
+
+def _numbered(keyed: DataFrame, starts: DataFrame, name: str) -> DataFrame:
     within = Window.partitionBy("_group", "_bucket").orderBy(ORD)
     return (
         keyed.join(starts, ["_group", "_bucket"])
@@ -67,24 +69,35 @@ def add_position(
     )
 
 
+def add_position(
+    df: DataFrame, groups: list[str], name: str = "position", bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """Number the rows of each group 1, 2, ... in input order.
+
+    A window over the whole group would sort a hot group in one task. Here the
+    group is cut into order buckets of bounded size; a row's number is the
+    count of rows in earlier buckets plus its place within its own.
+    """
+    keyed, sizes = _bucketed(df, groups, bucket_rows)
+    return _numbered(keyed, _starts(sizes), name)
+
+
 def add_rank_position(
     df: DataFrame, scores: list[str], name: str = "position", bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """Number all rows by descending scores, ties in input order.
 
-    ``scores`` must be columns of few values (0..100 scores): the group totals
-    are numbered in one task, so there must not be more than thousands of them.
+    ``scores`` must be columns of few values (0..100 scores): the totals of their
+    combinations are summed up in one task, so there should be thousands at most.
     """
-    totals = df.groupBy(*scores).agg(F.count("*").alias("_rows"))
-    above = Window.orderBy(*[F.desc(s) for s in scores]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.struct(*scores).alias("_scores"),
-        F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_above"),
+    keyed, sizes = _bucketed(df, scores, bucket_rows)
+    better = Window.orderBy(*[F.col("_group")[s].desc() for s in scores]).rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    placed = add_position(df, scores, "_place", bucket_rows)
-    return (
-        placed.withColumn("_scores", F.struct(*scores))
-        .join(F.broadcast(offsets), "_scores")
-        .withColumn(name, F.col("_above") + F.col("_place"))
-        .drop("_scores", "_above", "_place")
+    totals = sizes.groupBy("_group").agg(F.sum("_rows").alias("_rows"))
+    above = totals.select(
+        "_group", F.coalesce(F.sum("_rows").over(better), F.lit(0)).alias("_above")
     )
+    starts = _starts(sizes).join(above, "_group")
+    starts = starts.select("_group", "_bucket", (F.col("_start") + F.col("_above")).alias("_start"))
+    return _numbered(keyed, starts, name)

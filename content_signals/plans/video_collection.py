@@ -6,9 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from content_signals.constants import DEFAULT_MAX_PAGES, ORD, SEARCH_PAGE_QUOTA
+from content_signals.constants import DEFAULT_MAX_PAGES, ORD, PAGE_SIZE, SEARCH_PAGE_QUOTA
 from content_signals.operators.dedup import dedup_video_ids, distinct_ids, keep_first, top_n_per_query
-from content_signals.operators.requests import id_batches
 from content_signals.operators.videos import (
     attribute_query,
     normalize_videos,
@@ -17,6 +16,8 @@ from content_signals.operators.videos import (
     run_summary,
     valid_items_filter,
 )
+from content_signals.plans.skew import lookup_join
+from content_signals.plans.staging import stage
 
 
 @dataclass
@@ -44,40 +45,46 @@ def collect_videos(
     ``details``: one item per video id (``id, snippet, statistics``);
     ``specs``: query specs whose ``_ord`` is the order of the queries.
     ``search_calls`` and ``cache_hits`` come from the request log if there is one.
+
+    Ids, items and unique videos are staged: the statistics and the summary count
+    them without repeating the limits, the join and the deduplication.
     """
     taken = top_n_per_query(hits, specs, max_pages)
-    ids = distinct_ids(taken, ["query"])
-    places = specs.select("query", F.col(ORD).alias("_query_ord"))
+    ids = stage(distinct_ids(taken, ["query"]), "video-ids")
     # One row per (query, id) on the left and one per id on the right: no key is hot.
     first = keep_first(details, ["id"], [ORD] if ORD in details.columns else ["id"])
     found = ids.join(first.select("id", "snippet", "statistics"), "id")
-    items = normalize_videos(found)
-    valid = valid_items_filter(items)
-    attributed = attribute_query(valid, specs)
+    items = stage(normalize_videos(found), "video-items")
+
+    places = specs.select("query", F.col(ORD).alias("_query_ord"))
     ordered = (
-        attributed.join(places, "query")
+        lookup_join(attribute_query(valid_items_filter(items), specs), places, ["query"], "inner")
         .withColumn(ORD, F.struct(F.col("_query_ord").alias("query"), F.col(ORD).alias("row")))
         .drop("_query_ord")
     )
-    unique = dedup_video_ids(ordered)
+    unique = stage(dedup_video_ids(ordered), "videos")
     kept = quality_filter(unique, keep)
     final = rescore(kept) if rescore else kept
 
     zero = F.lit(0)
     calls = zero if search_calls is None else search_calls
-    batches = id_batches(taken)
-    sent = batches.agg(F.coalesce(F.sum("n_ids"), zero).alias("n")).scalar()
+    sent = ids.groupBy("query").agg(F.count("*").alias("n")).agg(
+        F.struct(
+            F.coalesce(F.sum("n"), zero).alias("ids"),
+            F.coalesce(F.sum(F.ceil(F.col("n") / PAGE_SIZE)), zero).alias("calls"),
+        )
+    ).scalar()
     summary = run_summary(
         {
             "queries": specs,
-            "global_ids_collected": distinct_ids(taken),
+            "global_ids_collected": ids.select("id").distinct(),
             "rows_after_dedup": unique,
             "rows_after_quality_filter": kept,
             "rows_final": final,
             "api_search_calls": calls,
-            "api_videos_calls": batches,
+            "api_videos_calls": sent["calls"],
             "cache_hits": zero if cache_hits is None else cache_hits,
-            "quota_units_estimated": calls * SEARCH_PAGE_QUOTA + sent,
+            "quota_units_estimated": calls * SEARCH_PAGE_QUOTA + sent["ids"],
         }
     )
     return Collection(final, query_stats(items, specs), summary)

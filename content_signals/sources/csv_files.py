@@ -34,8 +34,12 @@ def read_csv_text(
     required: list[str] | None = None,
     bad_rows: str = "raise",
     multi_line: bool = True,
+    na_null: bool = True,
 ) -> DataFrame:
-    """A CSV with a header as text columns plus ``_ord``; "no value" spellings are null.
+    """A CSV with a header as text columns plus ``_ord``.
+
+    ``na_null`` makes the "no value" spellings null; without it only an empty cell
+    is.
 
     A row with more cells than the header fails the job (``bad_rows="raise"``) or
     loses the surplus (``"permissive"``); missing cells are null. ``multi_line``
@@ -48,21 +52,19 @@ def read_csv_text(
         raise ValueError(f"missing required columns {missing} in {path}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names + [_CORRUPT]])
     reader = spark.read.schema(schema).options(**_CSV).option("multiLine", multi_line)
+    # a parser that skips the cells of unused columns would not see surplus ones
+    reader = reader.option("columnPruning", bad_rows != "raise")
     raw = reader.option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
     raw = raw.withColumn(ORD, file_order())
-    first = null_na(F.col(names[0]))
     if bad_rows == "raise":
         surplus = F.size(F.split(F.col(_CORRUPT), _SEPARATOR)) > len(names)
         error = F.raise_error(F.concat(F.lit("too many cells in CSV row: "), F.col(_CORRUPT)))
-        # tied to the order column, which no plan over this table prunes away
-        order_type = raw.schema[ORD].dataType
-        raw = raw.withColumn(
-            ORD,
-            F.when(F.col(_CORRUPT).isNotNull() & surplus, error.cast(order_type)).otherwise(
-                F.col(ORD)
-            ),
-        )
-    return raw.select(first.alias(names[0]), *[null_na(F.col(c)).alias(c) for c in names[1:]], ORD)
+        sound = F.when(F.col(_CORRUPT).isNotNull() & surplus, error.cast("boolean"))
+        # Spark refuses a plan that reads the corrupt-row column alone, as a count
+        # would; so the filter looks at a cell as well.
+        raw = raw.filter(sound.otherwise(F.coalesce(F.length(F.col(names[0])), F.lit(0)) >= 0))
+    cell = null_na if na_null else (lambda col: col)
+    return raw.select(*[cell(F.col(c)).alias(c) for c in names], ORD)
 
 
 def _with_boolean(df: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def read_query_specs(
     spark: SparkSession, path: str, max_results: int = DEFAULT_MAX_RESULTS, **options
 ) -> DataFrame:
     """Specs from a CSV with at least query, priority, max_results and min_views."""
-    raw = read_csv_text(spark, path, REQUIRED_QUERY_COLUMNS, **options)
+    raw = read_csv_text(spark, path, REQUIRED_QUERY_COLUMNS, na_null=False, **options)
     return clean_query_specs(raw, max_results)
 
 

@@ -75,9 +75,12 @@ def read_templates(
 
 def templates_from_dict(spark: SparkSession, template: dict, name: str = "default") -> DataFrame:
     """The same table out of one template set given as a dict."""
-    texts = [json.dumps(template[s]) if s in template else None for s in _SECTIONS]
-    schema = ", ".join(f"{c} string" for c in ["template"] + _SECTIONS)
-    return _checked(spark.createDataFrame([(name, *texts)], schema))
+    texts = {s: json.dumps(template[s]) if s in template else None for s in _SECTIONS}
+    raw = spark.range(1).select(
+        F.lit(name).alias("template"),
+        *[F.lit(text).cast("string").alias(s) for s, text in texts.items()],
+    )
+    return _checked(raw)
 
 
 def template_dims(templates: DataFrame) -> dict[str, DataFrame]:
