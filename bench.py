@@ -50,6 +50,7 @@ def main() -> None:
     for name in HEADLINE:
         seconds(spark, name, sf_dir)
         timings[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(RUNS)), 3)
+    version, heap = spark.version, spark.conf.get("spark.driver.memory")
     spark.stop()
     print(
         json.dumps(
@@ -60,6 +61,8 @@ def main() -> None:
                 "queries": timings,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
+                "heap": heap,
+                "spark": version,
                 "runs": RUNS,
             }
         )

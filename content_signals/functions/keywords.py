@@ -18,7 +18,8 @@ _FIRST = (
 
 
 def keyword_text(df: DataFrame, nan_as_token: bool = False) -> Column:
-    """Title, notes, URL and niche joined by blanks; absent columns count as blank.
+    """Title, notes, URL and niche in lower case, joined by blanks; absent columns
+    count as blank.
 
     ``nan_as_token`` writes ``nan`` for a null cell of a present column, which
     then counts as a keyword; by default a null is blank.
@@ -28,23 +29,23 @@ def keyword_text(df: DataFrame, nan_as_token: bool = False) -> Column:
         F.coalesce(F.col(c).cast("string"), blank) if c in df.columns else F.lit("")
         for c in KEYWORD_COLUMNS
     ]
-    return F.concat_ws(" ", *parts)
+    return F.lower(F.concat_ws(" ", *parts))
 
 
-def words(text: Column) -> Column:
-    """All letter/digit runs in lower case, keywords or not."""
-    return F.split(F.lower(text), "[^a-z0-9]+")
+def words(lower_text: Column) -> Column:
+    """All letter/digit runs, keywords or not; there may be empty ones at the ends."""
+    return F.split(lower_text, "[^a-z0-9]+")
 
 
 def is_keyword(word: Column) -> Column:
     return (F.length(word) > 2) & ~word.isin(STOPWORDS)
 
 
-def keywords(text: Column) -> Column:
+def keywords(lower_text: Column) -> Column:
     """The keywords in order, with repeats."""
-    return F.filter(words(text), is_keyword)
+    return F.filter(words(lower_text), is_keyword)
 
 
-def first_keyword(text: Column) -> Column:
+def first_keyword(lower_text: Column) -> Column:
     """The first keyword or null; the rest of the text is not read."""
-    return F.nullif(F.regexp_extract(F.lower(text), _FIRST, 0), F.lit(""))
+    return F.nullif(F.regexp_extract(lower_text, _FIRST, 0), F.lit(""))

@@ -78,23 +78,25 @@ def token_counts(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
     return found.filter(is_keyword(F.col("token"))).groupBy("token").agg(F.count("*").alias("n"))
 
 
-def _theme(df: DataFrame, nan_as_token: bool) -> Column:
+def _theme(lower_text: Column, df: DataFrame) -> Column:
     """The first keyword, else the niche in upper case, else UNKNOWN."""
     niche = F.coalesce(F.col("niche"), F.lit("")) if "niche" in df.columns else F.lit("")
     fallback = F.upper(F.coalesce(F.nullif(niche, F.lit("")), F.lit("UNKNOWN")))
-    return F.coalesce(first_keyword(keyword_text(df, nan_as_token)), fallback)
+    return F.coalesce(first_keyword(lower_text), fallback)
 
 
 def signal_counts(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
     """``(is_theme, key, n)``: occurrences of each keyword, and rows of each theme.
 
     Both come out of one pass, summed before the shuffle: a row's theme joins its
-    words with a mark that no keyword can hold.
+    words with a mark that no keyword can hold. Text and theme are columns of
+    their own, so that the explode does not work them out repeatedly.
     """
     mark = "="
-    theme = F.concat(F.lit(mark), _theme(df, nan_as_token))
-    marked = df.select(
-        F.explode_outer(F.concat(words(keyword_text(df, nan_as_token)), F.array(theme))).alias("key")
+    texts = df.withColumn("_text", keyword_text(df, nan_as_token))
+    themed = texts.select("_text", F.concat(F.lit(mark), _theme(F.col("_text"), df)).alias("_theme"))
+    marked = themed.select(
+        F.explode_outer(F.concat(words(F.col("_text")), F.array("_theme"))).alias("key")
     )
     is_theme = F.col("key").startswith(mark)
     counted = marked.filter(is_theme | is_keyword(F.col("key"))).groupBy("key").agg(
@@ -159,7 +161,7 @@ def _score_themes(df: DataFrame, counts: DataFrame, nan_as_token: bool) -> DataF
     themes = counts.filter("is_theme").select(F.col("key").alias("_theme"), "n")
     highest = themes.agg(F.max("n").alias("n")).scalar()
     scores = themes.select("_theme", (F.col("n") / highest).alias("multi_source_score"))
-    themed = df.withColumn("_theme", _theme(df, nan_as_token))
+    themed = df.withColumn("_theme", _theme(keyword_text(df, nan_as_token), df))
     return lookup_join(themed, scores, ["_theme"], "inner", counts=themes).drop("_theme")
 
 
@@ -174,7 +176,7 @@ def frequency_score(
 
 def multi_source_score(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
     """Add ``multi_source_score``: rows with the row's theme over rows with the top theme."""
-    theme = _theme(df, nan_as_token).alias("key")
+    theme = _theme(keyword_text(df, nan_as_token), df).alias("key")
     themes = df.groupBy(theme).agg(F.count("*").alias("n")).withColumn("is_theme", F.lit(True))
     return _score_themes(df, stage(themes, "theme-counts"), nan_as_token)
 

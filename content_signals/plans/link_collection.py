@@ -9,7 +9,7 @@ from content_signals.functions.urls import canonical_watch_url
 from content_signals.operators.dedup import dedup_by_watch_url, keep_first, pad_to_minimum
 from content_signals.operators.sinks import write_master
 from content_signals.operators.videos import master_projection
-from content_signals.plans.skew import lookup_join
+from content_signals.plans.skew import salted_join
 from content_signals.plans.staging import stage
 
 
@@ -46,7 +46,8 @@ def validate_links(links: DataFrame, prompts: DataFrame) -> DataFrame:
     stored = keep_first(prompts.withColumn("_url", url()), ["_url"]).select(
         "_url", "blended_priority_score", "status", "final_prompt"
     )
-    matched = lookup_join(links.withColumn("_url", url()), stored, ["_url"])
+    # Both sides may be large, so nothing is measured for a broadcast here.
+    matched = salted_join(links.withColumn("_url", url()), stored, ["_url"])
     known = F.col("blended_priority_score").isNotNull()
     stars = F.least(F.lit(5), F.lit(1) + F.floor(F.col("blended_priority_score") / 20)).cast("int")
     reason = F.concat(

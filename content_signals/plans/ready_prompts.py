@@ -21,15 +21,28 @@ def score_sources(sources: DataFrame) -> DataFrame:
 
 
 def prepare_prompts(sources: DataFrame, templates: DataFrame, **options) -> DataFrame:
-    """Everything up to the sort: scored rows with prompt and payload."""
-    return generation_payload(build_prompts(score_sources(sources), templates, **options))
+    """Scored rows with prompt and payload, in no particular order."""
+    return _render(score_sources(sources), templates, options)
+
+
+def _render(scored: DataFrame, templates: DataFrame, options: dict) -> DataFrame:
+    return generation_payload(build_prompts(scored, templates, **options))
+
+
+def _rank_and_render(scored: DataFrame, templates: DataFrame, options: dict) -> DataFrame:
+    """Sort, then render, so that the sort moves the notes but not the two texts
+    that repeat them. Rendering works row by row and keeps the order, unless each
+    row looks up a template of its own."""
+    if options.get("per_row_template"):
+        return rank_for_review(_render(scored, templates, options))
+    return _render(rank_for_review(scored), templates, options)
 
 
 def ready_and_prompts(
     sources: DataFrame, templates: DataFrame, **options
 ) -> tuple[DataFrame, DataFrame]:
     """The ranked review table and the ranked prompt table."""
-    ranked = rank_for_review(prepare_prompts(sources, templates, **options))
+    ranked = _rank_and_render(score_sources(sources), templates, options)
     return ready_projection(ranked), prompts_projection(ranked)
 
 
@@ -38,15 +51,16 @@ def run_and_write(
 ) -> bool:
     """Write both tables as CSV; False, with nothing written, for an empty source.
 
-    The rows are kept on the executors' disks between the two writes.
+    The deduplicated, scored rows are kept on the executors' disks between the
+    two writes.
     """
     if sources.isEmpty():
         return False
-    prepared = prepare_prompts(sources, templates, **options).persist(StorageLevel.DISK_ONLY)
+    scored = score_sources(sources).persist(StorageLevel.DISK_ONLY)
     try:
-        ranked = rank_for_review(prepared)
+        ranked = _rank_and_render(scored, templates, options)
         write_csv(ready_projection(ranked), ready_path)
         write_csv(prompts_projection(ranked), prompts_path)
     finally:
-        prepared.unpersist()
+        scored.unpersist()
     return True

@@ -108,6 +108,7 @@ def test_keywords(column):
         "-- watch4 --",
     ]
     want = [_plain_keywords(v) for v in values]
+    values = [v.lower() for v in values]
     assert column(keywords.keywords, values) == want
     assert column(keywords.first_keyword, values) == [w[0] if w else None for w in want]
 
