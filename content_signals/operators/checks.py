@@ -5,24 +5,17 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
 
 from content_signals.constants import MASTER_COLUMNS, PROMPTS_REQUIRED, READY_REQUIRED
 
-_CHECK = T.StructType(
-    [
-        T.StructField("check", T.StringType()),
-        T.StructField("ok", T.BooleanType()),
-        T.StructField("detail", T.StringType()),
-    ]
-)
-
-
 def check_columns(df: DataFrame, required: list[str], name: str) -> DataFrame:
     """Whether a table has the required columns; reads no rows."""
     missing = ", ".join(c for c in required if c not in df.columns)
-    row = (f"{name} columns", not missing, f"missing: {missing}" if missing else "")
-    return df.sparkSession.createDataFrame([row], _CHECK)
+    return df.sparkSession.range(1).select(
+        F.lit(f"{name} columns").alias("check"),
+        F.lit(not missing).alias("ok"),
+        F.lit(f"missing: {missing}" if missing else "").alias("detail"),
+    )
 
 
 def _one_row(df: DataFrame, name: str, number: Column, ok: Column) -> DataFrame:

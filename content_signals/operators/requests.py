@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from content_signals.constants import CACHE_TTL_SECONDS, PAGE_SIZE, SEARCH_PAGE_QUOTA
+from content_signals.functions.times import utc
 from content_signals.operators.dedup import distinct_ids
 from content_signals.plans.order import add_position
 
@@ -57,7 +58,6 @@ def pending_fetches(
     An entry counts until its age exceeds the TTL. Both sides are cut to one row
     per key before they are joined, so repeated keys do no harm.
     """
-    now = F.lit(as_of).cast("timestamp")
-    age = (F.unix_micros(now) - F.unix_micros(F.col("fetched_at").cast("timestamp"))) / 1_000_000
+    age = (F.unix_micros(utc(as_of)) - F.unix_micros(F.col("fetched_at").cast("timestamp"))) / 1_000_000
     fresh = log.filter(age <= ttl_seconds).select(*keys).distinct()
     return requests.select(*keys).distinct().join(fresh, keys, "left_anti")

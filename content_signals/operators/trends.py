@@ -25,12 +25,14 @@ from content_signals.functions.keywords import (
     words,
 )
 from content_signals.functions.text import trim_ws
+from content_signals.functions.times import utc
 from content_signals.plans.skew import fits_broadcast, lookup_join
 from content_signals.plans.staging import stage
 
 NEUTRAL = 0.5
 # Rows are first matched against this many of the most frequent keywords.
 HOT_KEYWORDS = 512
+LEADING_KEYWORDS = 16
 
 DATE_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
@@ -59,7 +61,7 @@ def recency_score(df: DataFrame, as_of: datetime, formats: Sequence[str] = DATE_
     col = F.col(name)
     if not isinstance(df.schema[name].dataType, (T.TimestampType, T.DateType)):
         col = parse_timestamp(col.cast("string"), formats)
-    seconds = F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(col.cast("timestamp"))
+    seconds = F.unix_micros(utc(as_of)) - F.unix_micros(col.cast("timestamp"))
     age = seconds / F.lit(1_000_000.0) / F.lit(86400.0)
     oldest = df.agg(F.greatest(F.max(age), F.lit(1.0)).alias("days")).scalar()
     score = F.greatest(F.lit(0.0), F.least(F.lit(1.0) - age / oldest, F.lit(1.0)))
@@ -129,8 +131,13 @@ def _score_frequency(
         )
     ).scalar()
     text = keyword_text(df, nan_as_token)
-    best = F.get(F.array_intersect(hot["token"], words(text)), F.lit(0))
-    place = F.array_position(hot["token"], best)
+
+    def best(tokens: Column) -> Column:
+        return F.get(F.array_intersect(tokens, words(text)), F.lit(0))
+
+    # a match among the very first spares most rows the rest of the list
+    leading = F.slice(hot["token"], 1, LEADING_KEYWORDS)
+    place = F.array_position(hot["token"], F.coalesce(best(leading), best(hot["token"])))
     highest = F.get(hot["n"], F.lit(0))
     direct = F.get(hot["n"], (place - 1).cast("int")) / highest
     neutral = F.lit(NEUTRAL)
@@ -202,8 +209,9 @@ def trend_score(
     """Add the three sub-scores and ``trend_score``; needs ``_ord``."""
     counts = stage(signal_counts(df, nan_as_token), "signal-counts")
     dated = recency_score(df, as_of)
-    themed = _score_themes(dated, counts, nan_as_token)
-    return weighted_score(_score_frequency(themed, counts, hot_keywords, nan_as_token))
+    # themes last: scoring frequency reads its input twice, and this way without their join
+    rated = _score_frequency(dated, counts, hot_keywords, nan_as_token)
+    return weighted_score(_score_themes(rated, counts, nan_as_token))
 
 
 def priority_level(df: DataFrame) -> DataFrame:

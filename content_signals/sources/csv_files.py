@@ -14,8 +14,6 @@ from content_signals.plans.order import file_order
 
 _CORRUPT = "_corrupt_record"
 _CSV = {"header": True, "escape": '"', "encoding": "UTF-8"}
-# A separator outside quotes: an even number of quotes follows it.
-_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def read_header(spark: SparkSession, path: str | list[str]) -> list[str]:
@@ -57,7 +55,8 @@ def read_csv_text(
     raw = reader.option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
     raw = raw.withColumn(ORD, file_order())
     if bad_rows == "raise":
-        surplus = F.size(F.split(F.col(_CORRUPT), _SEPARATOR)) > len(names)
+        unquoted = F.regexp_replace(_CORRUPT, r'"[^"]*"', "")
+        surplus = F.size(F.split(unquoted, ",")) > len(names)
         error = F.raise_error(F.concat(F.lit("too many cells in CSV row: "), F.col(_CORRUPT)))
         sound = F.when(F.col(_CORRUPT).isNotNull() & surplus, error.cast("boolean"))
         # Spark refuses a plan that reads the corrupt-row column alone, as a count

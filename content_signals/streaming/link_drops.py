@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from content_signals.functions.text import trim_ws
+from content_signals.functions.times import utc
 
 
 def _to_sources(lines: DataFrame, added_at: Column, niche: str) -> DataFrame:
@@ -27,8 +28,8 @@ def read_link_drops(
     added_at: datetime | None = None,
 ) -> DataFrame:
     """All links of a drop folder; other lines are left out."""
-    stamp = F.lit((added_at or datetime.now(timezone.utc)).replace(tzinfo=None)).cast("timestamp")
-    return _to_sources(spark.read.option("pathGlobFilter", pattern).text(folder), stamp, niche)
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
+    return _to_sources(lines, utc(added_at or datetime.now(timezone.utc)), niche)
 
 
 def ingest_link_drops(

@@ -35,14 +35,15 @@ SAMPLE_TEMPLATE = {
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A table; by ``key`` it is spread over all cores if it comes in fewer files.
+    """A table; by ``key`` it is spread over all cores if its scan has fewer tasks.
 
     A small table is one file of one row group, which a single task would read
-    and work on. A large one has files enough and is taken as it is.
+    and work on. The scan of a large one has tasks enough and is left alone. The
+    number of tasks is known from planning; nothing is read for it.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if key and len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if key and df.rdd.getNumPartitions() < cores else df
 
 
 def _pick(key: Column, values: list[str | None]) -> Column:

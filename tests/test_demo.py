@@ -13,11 +13,12 @@ from content_signals.plans.ready_prompts import (
     run_and_write,
     score_sources,
 )
+from content_signals.operators.sinks import export_prompt_text, write_csv
 from content_signals.plans.staging import new_path
 from content_signals.plans.trend_report import trend_report
-from content_signals.sources.csv_files import read_csv_text
+from content_signals.sources.csv_files import read_csv_text, read_sources
 from content_signals.sources.demo import demo_sources
-from content_signals.tables import sample_templates
+from content_signals.tables import AS_OF, sample_templates, sources
 
 
 def test_ranked_scores(spark):
@@ -92,3 +93,29 @@ def test_same_result_however_partitioned(spark):
         for n in (1, 16)
     ]
     assert results[0] == results[1]
+
+
+def test_from_csv_to_named_prompts(spark):
+    """Rows keep their place in the file all the way to the prompt names."""
+    path, out = new_path(spark, "demo-csv"), new_path(spark, "demo-prompts")
+    write_csv(demo_sources(spark, 30).coalesce(1), path)
+    read = read_sources(spark, path)
+    templates = sample_templates(spark)
+    ready, _ = ready_and_prompts(read, templates)
+    direct, _ = ready_and_prompts(demo_sources(spark, 30), templates)
+    columns = ["source_url", "blended_priority_score", "content_ready", "title_seed", "processed"]
+    assert ready.select(columns).collect() == direct.select(columns).collect()
+    ranks = ["blended_priority_score", "priority_score"]
+    export_prompt_text(prepare_prompts(read, templates), out, ranks)
+    named = {r.prompt_name: r.text for r in spark.read.parquet(out).collect()}
+    assert sorted(named) == [f"prompt_{i:03d}" for i in range(1, 31)]
+    first = ready.first().source_url
+    assert f"SOURCE: {first}\n" in named["prompt_001"]
+
+
+def test_scores_stay_in_range(spark, sf_dir):
+    rows = trend_report(score_sources(sources(spark, sf_dir)), AS_OF)
+    wrong = [f"{c} < 0 OR {c} > 1" for c in
+             ("recency_score", "frequency_score", "multi_source_score", "trend_score")]
+    wrong += [f"{c} < 0 OR {c} > 100" for c in ("priority_score", "blended_priority_score")]
+    assert rows.filter(" OR ".join(wrong)).isEmpty()

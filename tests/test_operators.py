@@ -256,6 +256,17 @@ def test_pending_fetches(spark):
     assert sorted(r.key for r in left.collect()) == ["b", "c"]
 
 
+def test_times_are_utc_in_any_session(spark, table):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = table([{"date": "2024-01-01T00:00:00Z"}, {"date": "2024-01-11T00:00:00+02:00"}])
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        scores = _by_order(trends.recency_score(df, datetime(2024, 1, 11)), "recency_score")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert scores == [(0.0,), (pytest.approx(1 - 2 / 240),)]
+
+
 def test_checks(table):
     df = table([{"status": "FILTERED", "final_prompt": ""}, {"status": "X", "final_prompt": ""}])
     assert not check_prompts_nonempty(df).first().ok
