@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from content_signals.constants import NA_TOKENS, WHITESPACE
 
 _PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_PLAIN_INTEGER = r"^[+-]?[0-9]+$"
+_PLAIN_INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
 
 
 def trim_ws(col: Column) -> Column:
@@ -36,9 +36,10 @@ def plain_number(col: Column) -> Column:
 
 
 def count_or_zero(col: Column) -> Column:
-    """Long for integer text, 0 for anything else."""
+    """Long for integer text, 0 for anything else; ``1_000`` is a thousand."""
     text = trim_ws(col.cast("string"))
-    number = F.when(text.rlike(_PLAIN_INTEGER), text.try_cast("bigint"))
+    digits = F.replace(text, F.lit("_"), F.lit(""))
+    number = F.when(text.rlike(_PLAIN_INTEGER), digits.try_cast("bigint"))
     return F.coalesce(number, F.lit(0).cast("bigint"))
 
 

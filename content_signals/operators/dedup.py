@@ -101,18 +101,22 @@ def top_n_per_query(
 ) -> DataFrame:
     """At most ``max_results`` rows of each query in arrival order.
 
-    ``max_pages`` pages of ``page_size`` bound it further; ``None`` lifts that.
-    Rows of a query without a spec go.
+    ``max_pages`` pages of ``page_size`` bound it further; ``None`` lifts that, and
+    a column ``max_pages`` of the specs takes its place where it is not null. Rows
+    of a query without a spec go.
     """
-    limits = specs.select("query", F.col("max_results").alias("_limit"))
+    limit = F.col("max_results")
+    bound = None if max_pages is None else max_pages * page_size
+    if "max_pages" in specs.columns:
+        limit = F.least(limit, F.coalesce(F.col("max_pages") * page_size, F.lit(bound)))
+        bound = None
+    limits = specs.select("query", limit.alias("_limit"))
     rows = lookup_join(df, limits, ["query"], "inner")
-    if max_pages is not None and max_pages * page_size <= _PRE_SHUFFLE_LIMIT:
+    if bound is not None and bound <= _PRE_SHUFFLE_LIMIT:
         window = Window.partitionBy("query").orderBy(ORD)
-        placed = rows.withColumn("_place", F.row_number().over(window)).filter(
-            F.col("_place") <= max_pages * page_size
-        )
+        placed = rows.withColumn("_place", F.row_number().over(window))
     else:
         placed = add_position(rows, ["query"], "_place")
-        if max_pages is not None:
-            placed = placed.filter(F.col("_place") <= max_pages * page_size)
+    if bound is not None:
+        placed = placed.filter(F.col("_place") <= bound)
     return placed.filter(F.col("_place") <= F.col("_limit")).drop("_place", "_limit")

@@ -100,6 +100,7 @@ def render_prompt(
     url_column = next((c for c in ("content_url", "source_url") if c in df.columns), None)
     url = trim_ws(F.coalesce(F.col(url_column), F.lit(""))) if url_column else F.lit("")
     score = next((c for c in ("blended_priority_score", "priority_score") if c in df.columns), None)
+    # The labels and their order.
     lines = [
         ("ROLE", F.col(_SET)["role"]),
         ("RULES", _rules(df)),
@@ -134,6 +135,7 @@ def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def prompt_quality(df: DataFrame) -> DataFrame:
     """Add ``prompt_quality_flags`` and ``prompt_quality_score``."""
     text = F.coalesce(F.col("final_prompt"), F.lit(""))
+    # Flag, condition, points off.
     faults = [
         ("prompt_too_short", F.length(text) < 180, 25),
         ("missing_role", ~text.contains("ROLE:"), 20),
@@ -187,6 +189,7 @@ def render_prompt_legacy(df: DataFrame, templates: DataFrame) -> DataFrame:
     def given(name: str, default: str) -> Column:
         return F.coalesce(F.col(name), F.lit("")) if name in df.columns else F.lit(default)
 
+    # The headings and their order.
     blocks = [
         ("ROLE", F.col(_SET)["base_prompt"]),
         ("OBJECTIVE", goal_text),

@@ -26,7 +26,7 @@ from content_signals.functions.keywords import (
 )
 from content_signals.functions.text import trim_ws
 from content_signals.functions.times import utc
-from content_signals.plans.skew import fits_broadcast, lookup_join
+from content_signals.plans.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measured
 from content_signals.plans.staging import stage
 
 NEUTRAL = 0.5
@@ -154,10 +154,12 @@ def _score_frequency(
         cold.join(tokens, "token").groupBy(ORD).agg((F.max("n") / highest).alias("_cold")),
         "cold-scores",
     )
-    if scores.isEmpty():
+    n, size = measured(scores)
+    if n == 0:
         return df.withColumn("frequency_score", F.coalesce(direct, neutral))
+    small = n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
     # _ord is unique, so a shuffle by it is even
-    joined = df.join(F.broadcast(scores) if fits_broadcast(scores) else scores, ORD, "left")
+    joined = df.join(F.broadcast(scores) if small else scores, ORD, "left")
     return joined.withColumn(
         "frequency_score", F.coalesce(F.col("_cold"), direct, neutral)
     ).drop("_cold")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
 
 from content_signals.constants import ORD
+from content_signals.functions.fields import has_field, text_field
 from content_signals.functions.text import count_or_zero
 from content_signals.functions.urls import canonical_watch_url
 from content_signals.plans.skew import lookup_join
@@ -15,41 +15,29 @@ from content_signals.plans.skew import lookup_join
 ITEM_FIELDS = ["platform", "id", "title", "channel", "views", "published_at", "source_extra"]
 
 
-def _field(df: DataFrame, path: str) -> Column:
-    """A nested text field; '' if the field is absent from the schema or null."""
-    kind: T.DataType = df.schema
-    for name in path.split("."):
-        if not isinstance(kind, T.StructType) or name not in kind.fieldNames():
-            return F.lit("")
-        kind = kind[name].dataType
-    return F.coalesce(F.col(path).cast("string"), F.lit(""))
-
-
 def normalize_videos(df: DataFrame) -> DataFrame:
     """Flatten detail items (``id``, ``snippet``, ``statistics``) to the item columns.
 
     Missing text is '', missing tags an empty list, an unreadable count 0. Other
     columns, such as the query and the order, are carried along.
     """
-    tags = F.lit(None)
-    if "tags" in df.schema["snippet"].dataType.fieldNames():
-        tags = F.col("snippet.tags")
+    tags = F.col("snippet.tags") if has_field(df, "snippet.tags") else F.lit(None)
     extra = F.struct(
-        _field(df, "snippet.description").alias("description"),
+        text_field(df, "snippet.description").alias("description"),
         F.coalesce(tags, F.array().cast("array<string>")).alias("tags"),
-        _field(df, "snippet.categoryId").alias("categoryId"),
-        count_or_zero(_field(df, "statistics.likeCount")).alias("likeCount"),
-        count_or_zero(_field(df, "statistics.commentCount")).alias("commentCount"),
+        text_field(df, "snippet.categoryId").alias("categoryId"),
+        count_or_zero(text_field(df, "statistics.likeCount")).alias("likeCount"),
+        count_or_zero(text_field(df, "statistics.commentCount")).alias("commentCount"),
     )
     carried = [c for c in df.columns if c not in ("id", "snippet", "statistics")]
     return df.select(
         *carried,
         F.lit("youtube").alias("platform"),
-        _field(df, "id").alias("id"),
-        _field(df, "snippet.title").alias("title"),
-        _field(df, "snippet.channelTitle").alias("channel"),
-        count_or_zero(_field(df, "statistics.viewCount")).alias("views"),
-        _field(df, "snippet.publishedAt").alias("published_at"),
+        text_field(df, "id").alias("id"),
+        text_field(df, "snippet.title").alias("title"),
+        text_field(df, "snippet.channelTitle").alias("channel"),
+        count_or_zero(text_field(df, "statistics.viewCount")).alias("views"),
+        text_field(df, "snippet.publishedAt").alias("published_at"),
         extra.alias("source_extra"),
     )
 

@@ -28,14 +28,15 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure whether a table is small enough to send to every executor.
+def measured(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[int, int]:
+    """Rows and bytes of a table, of which no more than ``rows + 1`` rows are read."""
+    part = df.limit(rows + 1)
+    return tuple(part.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first())
 
-    Reads no more than ``rows + 1`` rows of it.
-    """
-    n, total = (
-        df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
-    )
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has been measured to be small enough to send to every executor."""
+    n, total = measured(df, rows)
     return n <= rows and total <= size
 
 

@@ -13,6 +13,7 @@ def _every(n: int, then: str, otherwise: str) -> Column:
 
 def demo_sources(spark: SparkSession, n: int = 10, source_file: str = "master_sources.csv") -> DataFrame:
     """``n`` made-up sources, numbered from 1."""
+    # The scores and the order of these rows are known.
     picked = F.col(ORD).isin(2, 6)
     number = F.col(ORD).cast("string")
     return spark.range(1, n + 1).withColumnRenamed("id", ORD).select(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from content_signals.constants import ORD
+from content_signals.functions.fields import text_field
 from content_signals.functions.urls import canonical_watch_url
 from content_signals.plans.order import file_order
 
@@ -46,35 +47,17 @@ def page_items(pages: DataFrame) -> DataFrame:
     )
 
 
-def _first_field(df: DataFrame, paths: list[tuple[str, ...]]) -> Column:
-    found = []
-    for path in paths:
-        kind, col = df.schema, None
-        for name in path:
-            if not hasattr(kind, "fieldNames") or name not in kind.fieldNames():
-                col = None
-                break
-            kind = kind[name].dataType
-            col = F.col(name) if col is None else col[name]
-        if col is not None:
-            found.append(col)
-    return F.coalesce(*found, F.lit(""))
-
-
 def video_items_from_json(pages: DataFrame, source: str = "query") -> DataFrame:
     """``(source, source_url, title, published_at, channel, id, _ord)`` of search,
     channel or playlist pages; items without an id go."""
     items = page_items(pages)
-    video_id = _first_field(items, [("id", "videoId"), ("snippet", "resourceId", "videoId")])
-    channel = _first_field(
-        items, [("snippet", "videoOwnerChannelTitle"), ("snippet", "channelTitle")]
-    )
+    video_id = text_field(items, "id.videoId", "snippet.resourceId.videoId")
     return items.select(
         F.col(source).alias("source"),
         canonical_watch_url(video_id).alias("source_url"),
-        _first_field(items, [("snippet", "title")]).alias("title"),
-        _first_field(items, [("snippet", "publishedAt")]).alias("published_at"),
-        channel.alias("channel"),
+        text_field(items, "snippet.title").alias("title"),
+        text_field(items, "snippet.publishedAt").alias("published_at"),
+        text_field(items, "snippet.videoOwnerChannelTitle", "snippet.channelTitle").alias("channel"),
         video_id.alias("id"),
         ORD,
     ).filter(F.col("source_url").isNotNull())

@@ -26,8 +26,8 @@ def test_plain_number(column):
 
 
 def test_count_or_zero(column):
-    values = ["15", " 7 ", "-1", "1.5", "many", "", None, "99999999999999999999"]
-    assert column(text.count_or_zero, values) == [15, 7, -1, 0, 0, 0, 0, 0]
+    values = ["15", " 7 ", "-1", "1.5", "many", "", None, "99999999999999999999", "1_000", "1__0", "_1"]
+    assert column(text.count_or_zero, values) == [15, 7, -1, 0, 0, 0, 0, 0, 1000, 0, 0]
 
 
 def test_title_case(column):

@@ -190,7 +190,10 @@ def test_page_links(spark):
     assert [(r.source_url[-6:], r.title) for r in raw] == [("aaaaaa", ""), ("bbbbbb", ""), ("cccccc", "")]
 
 
-DETAILS = "id string, snippet struct<title: string, channelTitle: string, publishedAt: string, description: string, tags: array<string>>, statistics struct<viewCount: string, likeCount: string>"
+DETAILS = (
+    "id string, snippet struct<title: string, channelTitle: string, publishedAt: string, "
+    "description: string, tags: array<string>>, statistics struct<viewCount: string, likeCount: string>"
+)
 
 
 def _details(spark):
@@ -210,6 +213,8 @@ def test_normalize_videos(spark):
     assert (rows["b"].source_extra.likeCount, rows["c"].source_extra.commentCount) == (0, 0)
     with pytest.raises(ValueError):
         videos.valid_items_filter(_details(spark))
+    bare = videos.normalize_videos(_details(spark).select("id")).filter("id = 'a'").first()
+    assert (bare.title, bare.views, bare.source_extra.tags) == ("", 0, [])
 
 
 def test_video_collection(spark):

@@ -114,6 +114,15 @@ def test_limit_per_query_on_a_hot_query(spark, skewed, max_pages):
     assert got.filter("query = 'hot'").agg(F.max(ORD)).first()[0] == 3 * (top - 1)
 
 
+def test_page_bound_of_a_spec(spark, skewed):
+    hits = skewed.select(F.col("key").alias("query"), ORD)
+    specs = spark.createDataFrame(
+        [("hot", 500, 2), ("5", 500, None)], "query string, max_results bigint, max_pages bigint"
+    )
+    got = dedup.top_n_per_query(hits, specs, max_pages=1, page_size=20).groupBy("query").count()
+    assert {r["query"]: r["count"] for r in got.collect()} == {"hot": 40, "5": 20}
+
+
 def test_batches_of_a_hot_query(skewed):
     hits = skewed.select(F.col("key").alias("query"), F.concat(F.lit("v"), ORD).alias("id"), ORD)
     batches = requests.id_batches(hits.filter("query = 'hot'"))
