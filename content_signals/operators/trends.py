@@ -147,22 +147,29 @@ def _score_frequency(
     # Not a filter on cold rows, which would be worked out once more below the explode.
     found = words(F.col("_text"))
     unmatched = F.when(~F.arrays_overlap(found, hot["token"]), F.array_distinct(found))
-    cold = df.select(ORD, text.alias("_text")).select(
+    exploded = df.select(ORD, text.alias("_text")).select(
         ORD, F.explode_outer(unmatched).alias("token")
     )
-    scores = stage(
-        cold.join(tokens, "token").groupBy(ORD).agg((F.max("n") / highest).alias("_cold")),
-        "cold-scores",
-    )
-    n, size = measured(scores)
+    cold = stage(exploded.filter(is_keyword(F.col("token"))), "cold-words")
+    n, size = measured(cold)
     if n == 0:
         return df.withColumn("frequency_score", F.coalesce(direct, neutral))
-    small = n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
-    # _ord is unique, so a shuffle by it is even
-    joined = df.join(F.broadcast(scores) if small else scores, ORD, "left")
-    return joined.withColumn(
-        "frequency_score", F.coalesce(F.col("_cold"), direct, neutral)
-    ).drop("_cold")
+
+    def maybe_broadcast(side: DataFrame) -> DataFrame:
+        # the scores are no more rows than the words measured; beyond the bound the
+        # joins shuffle, by words of which none is hot and by _ord, which is unique
+        return F.broadcast(side) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else side
+
+    scores = (
+        tokens.join(maybe_broadcast(cold), "token")
+        .groupBy(ORD)
+        .agg((F.max("n") / highest).alias("_cold"))
+    )
+    return (
+        df.join(maybe_broadcast(scores), ORD, "left")
+        .withColumn("frequency_score", F.coalesce(F.col("_cold"), direct, neutral))
+        .drop("_cold")
+    )
 
 
 def _score_themes(df: DataFrame, counts: DataFrame, nan_as_token: bool) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from content_signals.constants import ORD
 from content_signals.plans.staging import stage
 
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS = 100_000
 PAGE_ROWS = 100  # rows to expect of one landed page
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
-from content_signals.constants import PROMPTS_COLUMNS, READY_COLUMNS
+from content_signals.constants import MASTER_COLUMNS, ORD, PROMPTS_COLUMNS, READY_COLUMNS
 from content_signals.operators.ranking import top_n_for_review
+from content_signals.plans.link_collection import collect_links
 from content_signals.plans.ready_prompts import (
     prepare_prompts,
     ready_and_prompts,
@@ -15,7 +16,7 @@ from content_signals.plans.ready_prompts import (
 )
 from content_signals.operators.sinks import export_prompt_text, write_csv
 from content_signals.plans.staging import new_path
-from content_signals.plans.trend_report import trend_report
+from content_signals.plans.trend_report import run_trend_scoring, trend_report
 from content_signals.sources.csv_files import read_csv_text, read_sources
 from content_signals.sources.demo import demo_sources
 from content_signals.tables import AS_OF, sample_templates, sources
@@ -119,3 +120,16 @@ def test_scores_stay_in_range(spark, sf_dir):
              ("recency_score", "frequency_score", "multi_source_score", "trend_score")]
     wrong += [f"{c} < 0 OR {c} > 100" for c in ("priority_score", "blended_priority_score")]
     assert rows.filter(" OR ".join(wrong)).isEmpty()
+
+
+def test_written_trends_and_links(spark, table):
+    path = run_trend_scoring(demo_sources(spark), AS_OF, new_path(spark, "trends"))
+    rows = read_csv_text(spark, path).collect()
+    assert len(rows) == 10
+    assert {r.priority_level for r in rows} == {"HIGH"}
+    records = table([{"source_url": "abcdef"}, {"source_url": "https://x.example/none"}])
+    path = collect_links(records, new_path(spark, "links"), niche="STORY")
+    rows = read_csv_text(spark, path)
+    assert rows.columns == MASTER_COLUMNS + [ORD]
+    assert rows.count() == 10
+    assert rows.filter("niche = 'STORY'").count() == 1
