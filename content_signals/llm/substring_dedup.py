@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from content_signals.llm.common import as_bytes, slices, text_key
@@ -30,12 +31,32 @@ _MIN_COUNTERS_LOG2 = 16
 _SHARD_LOG2 = 20
 #: Windows that a task holds before it passes their sketch, or their candidates, on.
 _FLUSH = 4 << 20
+_FLUSH_CANDIDATES = 1 << 20
 #: Windows that one exact group of buckets should hold.
 _BUCKET = 1 << 20
 _SLICE_BYTES = 8 << 20
 _ROWS = 2
 
 
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers with their high bytes apart, which compress to next to nothing."""
+    return numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
+
 def _pack_gaps(places: np.ndarray) -> bytes:
     """Sorted numbers as variable-length gaps, seven bits a byte."""
     gaps = np.diff(places, prepend=0).astype(np.uint32)
@@ -62,7 +83,7 @@ def _unpack_gaps(data: bytes) -> np.ndarray:
 
 def _places(h1: np.ndarray, h2: np.ndarray, log2: int) -> tuple[np.ndarray, np.ndarray]:
     shift = np.uint64(64 - log2)
-    return h1 >> shift, h2 >> shift
+    return (h1 >> shift).astype(np.uint32), (h2 >> shift).astype(np.uint32)
 
 
 def _windows(batch: pa.RecordBatch, window: int) -> Iterator[tuple]:
@@ -78,13 +99,14 @@ def _sketches(window: int, log2: int):
     def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         rows, shards, packed = [], [], []
         for r in range(_ROWS):
-            places = np.sort(np.concatenate([h[r] for h in held]).astype(np.int64))
-            shard = places >> shard_log2
-            cuts = np.flatnonzero(np.diff(shard, prepend=-1))
+            places = np.concatenate([h[r] for h in held])
+            places.sort()
+            cuts = _starts(places >> np.uint32(shard_log2))
             for start, end in zip(cuts, np.append(cuts[1:], len(places))):
+                shard = int(places[start]) >> shard_log2
                 rows.append(r)
-                shards.append(int(shard[start]))
-                packed.append(_pack_gaps(places[start:end] - (shard[start] << shard_log2)))
+                shards.append(shard)
+                packed.append(_pack_gaps(places[start:end] - np.uint32(shard << shard_log2)))
         arrays = [pa.array(rows, pa.int32()), pa.array(shards, pa.int32()), pa.array(packed, pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, names=["r", "shard", "places"])
 
@@ -145,7 +167,7 @@ def estimate(rows: DataFrame, window: int) -> tuple[int, np.ndarray]:
     return log2, bits
 
 
-_LISTED = "bucket int, doc binary, key binary, row binary, place binary, h1 binary, h2 binary"
+_LISTED = "bucket int, doc binary, key binary, times binary, place binary, h1 binary, h2 binary"
 
 
 def _candidates(window: int, log2: int, shared, buckets: int):
@@ -160,31 +182,28 @@ def _candidates(window: int, log2: int, shared, buckets: int):
         doc, key, place, h1, h2 = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((doc, h2, h1))
         doc, key, place, h1, h2 = (c[order] for c in (doc, key, place, h1, h2))
-        new = np.ones(len(h1), bool)
-        new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        settled = doc > doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        new = _starts(h1, h2)
+        settled = doc > np.repeat(doc[new], np.diff(np.append(new, len(doc))))
+        bucket = (h2 % np.uint32(buckets)).astype(np.int32)
         for done in (True, False):
             chosen = np.flatnonzero(settled == done)
-            bucket = (h2[chosen] % np.uint64(buckets)).astype(np.int64)
-            chosen = chosen[np.lexsort((place[chosen], key[chosen], doc[chosen], bucket))]
-            bucket = (h2[chosen] % np.uint64(buckets)).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            chosen = chosen[np.lexsort((place[chosen], key[chosen], doc[chosen], bucket[chosen]))]
+            cuts = _starts(bucket[chosen])
             for start, end in zip(cuts, np.append(cuts[1:], len(chosen))):
                 own = chosen[start:end]
-                first = np.ones(len(own), bool)
-                first[1:] = (doc[own][1:] != doc[own][:-1]) | (key[own][1:] != key[own][:-1])
+                first = _starts(doc[own], key[own])
                 parts = [
-                    doc[own][first],
-                    key[own][first],
-                    (np.cumsum(first) - 1).astype(np.uint32),
-                    place[own].astype(np.uint32),
-                    h1[own] if not done else h1[:0],
-                    h2[own] if not done else h2[:0],
+                    doc[own[first]].tobytes(),
+                    key[own[first]].tobytes(),
+                    _planes(np.diff(np.append(first, len(own)))),
+                    _planes(place[own]),
+                    b"" if done else h1[own].tobytes(),
+                    b"" if done else h2[own].tobytes(),
                 ]
-                arrays = [pa.array([int(bucket[start])], pa.int32())]
-                arrays += [pa.array([p.tobytes()], pa.binary()) for p in parts]
+                arrays = [pa.array([int(bucket[own[0]])], pa.int32())]
+                arrays += [pa.array([p], pa.binary()) for p in parts]
                 yield pa.RecordBatch.from_arrays(
-                    arrays, names=["bucket", "doc", "key", "row", "place", "h1", "h2"]
+                    arrays, names=["bucket", "doc", "key", "times", "place", "h1", "h2"]
                 )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,11 +214,12 @@ def _candidates(window: int, log2: int, shared, buckets: int):
             for first, row, place, h1, h2 in _windows(batch, window):
                 near = np.ones(len(h1), bool)
                 for r, at in enumerate(_places(h1, h2, log2)):
-                    near &= (bits[r][at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                    near &= (bits[r][at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & 1 > 0
                 row = first + row[near]
-                held.append((docs[row], keys[row], place[near], h1[near], h2[near]))
+                low = h2[near].astype(np.uint32)  # 96 bits tell windows apart
+                held.append((docs[row], keys[row], place[near].astype(np.uint32), h1[near], low))
                 n += len(row)
-                if n >= _FLUSH // 2:
+                if n >= _FLUSH_CANDIDATES:
                     yield from flush(held)
                     held, n = [], 0
         if n:
@@ -212,41 +232,56 @@ def _decide(batch_keys: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     """The windows of a bucket that start in a smaller document, as places per document."""
 
     def emit(doc, key, row, place) -> pa.RecordBatch:
-        cuts = np.flatnonzero(np.diff(row, prepend=-1))
-        places = [place[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(row)))]
+        cuts = _starts(row)
+        places = [_planes(place[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(row)))]
         arrays = [pa.array(doc[row[cuts]]), pa.array(key[row[cuts]]), pa.array(places, pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, names=["doc", "key", "places"])
 
     held, offset = [], 0
     for batch in batches:
-        for _, *parts in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-            kinds = (np.int64, np.int64, np.uint32, np.uint32, np.uint64, np.uint64)
-            doc, key, row, place, h1, h2 = (np.frombuffer(p, t) for p, t in zip(parts, kinds))
-            if not len(h1):
-                yield emit(doc, key, row.astype(np.int64), place)
-            else:
-                held.append((doc, key, row.astype(np.int64) + offset, place, h1, h2))
+        for _, doc, key, times, place, h1, h2 in zip(
+            *(batch.column(i).to_pylist() for i in range(batch.num_columns))
+        ):
+            doc, key, place = np.frombuffer(doc, np.int64), np.frombuffer(key, np.int64), _from_planes(place)
+            row = np.repeat(np.arange(len(doc)), _from_planes(times))
+            if h1:
+                hashes = np.frombuffer(h1, np.uint64), np.frombuffer(h2, np.uint32)
+                held.append((doc, key, row + offset, place, *hashes))
                 offset += len(doc)
+            else:
+                yield emit(doc, key, row, place)
     if held:
         doc, key, row, place, h1, h2 = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((doc[row], h2, h1))
-        new = np.ones(len(order), bool)
-        new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
-        least = doc[row[order]][np.flatnonzero(new)[np.cumsum(new) - 1]]
-        removed = np.sort(order[doc[row[order]] > least])  # back in the order of their documents
-        yield emit(doc, key, row[removed], place[removed])
+        new = _starts(h1[order], h2[order])
+        owner = doc[row[order]]
+        least = np.repeat(owner[new], np.diff(np.append(new, len(order))))
+        removed = np.sort(order[owner > least])  # back in the order of their documents
+        if len(removed):
+            yield emit(doc, key, row[removed], place[removed])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts made small for the way to their removed windows."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in slices(batches, "text", _SLICE_BYTES):
+        texts = pa.array(map(packer.compress, as_bytes(batch.column("text"))), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("key"), texts], names=["doc_id", "key", "packed"]
+        )
 
 
 def _cut(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", _SLICE_BYTES):
+        unpacker = zstandard.ZstdDecompressor()
+        for batch in slices(batches, "packed", _SLICE_BYTES // 4):
             kept, n_words, n_removed = [], [], []
-            for text, lists in zip(as_bytes(batch.column("text")), batch.column("places").to_pylist()):
-                words = text.split()  # bytes split at space and \t to \r only
+            for packed, lists in zip(batch.column("packed").to_pylist(), batch.column("places").to_pylist()):
+                words = unpacker.decompress(packed).split()  # at space and \t to \r only
                 n_words.append(len(words))
                 if lists:
                     edge = np.zeros(len(words) + 1, np.int64)
-                    starts = np.unique(np.concatenate([np.frombuffer(p, np.uint32) for p in lists]))
+                    starts = np.unique(np.concatenate([_from_planes(p) for p in lists]))
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + window, -1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
@@ -290,9 +325,10 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy("doc", "key")
         .agg(F.collect_list("places").alias("places"))
     )
-    joined = rows.withColumn("key", text_key(F.col("text"))).join(
-        removed.withColumnRenamed("doc", "doc_id"), ["doc_id", "key"], "left"
+    packed = rows.select("doc_id", text_key(F.col("text")).alias("key"), "text").mapInArrow(
+        _packed, "doc_id long, key long, packed binary"
     )
-    return joined.select("doc_id", "text", "places").mapInArrow(
+    joined = packed.join(removed.withColumnRenamed("doc", "doc_id"), ["doc_id", "key"], "left")
+    return joined.select("doc_id", "packed", "places").mapInArrow(
         _cut(window), "doc_id long, kept_text string, n_words long, n_removed long"
     )
