@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from content_signals.llm.common import text_key
+from content_signals.llm.common import stage, text_key
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -37,7 +37,8 @@ def drop_common_lines(
     A null or empty text is one empty line. Rows that share a ``doc_id`` are one
     document. A row without ``doc_id`` is not counted and keeps all its lines.
 
-    Lines travel as (document, position, digest). Documents are counted in two
+    Lines travel as (document, position, digest), written once to the shared folder
+    so that texts are cut and hashed once. Documents are counted in two
     steps, first per (digest, document), so that a line found everywhere is
     summed before its rows meet; the lookup of common lines may be split by
     adaptive execution, as nothing above it needs its partitioning.
@@ -56,6 +57,7 @@ def drop_common_lines(
     hashed = long_enough.filter(F.length("line") >= min_chars).select(
         "doc", "key", "pos", _digest(F.col("line")).alias("digest")
     )
+    hashed = stage(hashed, "line-digests")
     per_document = hashed.groupBy("digest", "doc").agg(F.lit(1).alias("one"))
     common = (
         per_document.groupBy("digest")
