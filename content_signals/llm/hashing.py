@@ -76,6 +76,22 @@ def run_hashes(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def lead_hashes(words: np.ndarray, length: int, lead: int = 5) -> np.ndarray:
+    """For every run of ``length`` words the smallest hash of a shorter run inside it.
+
+    Neighbouring runs mostly share it, equal runs always do.
+    """
+    lead = min(lead, length)
+    least, size, width = run_hashes(words, lead)[0], 1, length - lead + 1
+    n = len(words) - length + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    while size * 2 <= width:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    return mix(np.minimum(least[:n], least[width - size : width - size + n]), _MIXERS[0])
+
+
 class Words:
     """The words of some documents: offsets, hashes, and each document's first word."""
 
@@ -86,14 +102,15 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)
         self.hashes = word_hashes(self.data, self.starts, self.ends)
 
-    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(document, first word within it, hash, second hash) of every window inside a document."""
+    def windows(self, length: int) -> tuple[np.ndarray, ...]:
+        """(document, first word in it, hash, second hash, lead) of every window inside a document."""
         h1, h2 = run_hashes(self.hashes, length)
         counts = np.diff(self.first)
         doc = np.repeat(np.arange(len(counts)), counts)
         inside = np.flatnonzero(doc[: len(h1)] == doc[length - 1 :]) if len(h1) else np.empty(0, np.int64)
         own = doc[inside]
-        return own, inside - self.first[own], h1[inside], h2[inside]
+        leads = lead_hashes(self.hashes, length)
+        return own, inside - self.first[own], h1[inside], h2[inside], leads[inside]
 
 
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

@@ -31,10 +31,10 @@ _MIN_COUNTERS_LOG2 = 16
 _SHARD_LOG2 = 20
 #: Windows that a task holds before it passes their sketch, or their candidates, on.
 _FLUSH = 4 << 20
-_FLUSH_CANDIDATES = 1 << 20
+_FLUSH_CANDIDATES = 1 << 19
 #: Windows that one exact group of buckets should hold.
 _BUCKET = 1 << 20
-_SLICE_BYTES = 8 << 20
+_SLICE_BYTES = 4 << 20
 _ROWS = 2
 
 
@@ -113,7 +113,7 @@ def _sketches(window: int, log2: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in slices(batches, "text", _SLICE_BYTES):
-            for _, _, _, h1, h2 in _windows(batch, window):
+            for _, _, _, h1, h2, _ in _windows(batch, window):
                 held.append(_places(h1, h2, log2))
                 n += len(h1)
                 if n >= _FLUSH:
@@ -171,7 +171,9 @@ _LISTED = "bucket int, doc binary, key binary, times binary, place binary, h1 bi
 
 
 def _candidates(window: int, log2: int, shared, buckets: int):
-    """Windows estimated repeated, by bucket of their hash.
+    """Windows estimated repeated, by bucket of their lead.
+
+    Neighbouring windows mostly share a lead, so a document's stay together.
 
     Of equal windows in one task only the smallest document's goes on to be
     compared; those of larger documents are settled here and go along without hash.
@@ -179,12 +181,11 @@ def _candidates(window: int, log2: int, shared, buckets: int):
     """
 
     def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        doc, key, place, h1, h2 = (np.concatenate(c) for c in zip(*held))
-        order = np.lexsort((doc, h2, h1))
-        doc, key, place, h1, h2 = (c[order] for c in (doc, key, place, h1, h2))
+        columns = [np.concatenate(c) for c in zip(*held)]
+        order = np.lexsort((columns[0], columns[4], columns[3]))
+        doc, key, place, h1, h2, bucket = (c[order] for c in columns)
         new = _starts(h1, h2)
         settled = doc > np.repeat(doc[new], np.diff(np.append(new, len(doc))))
-        bucket = (h2 % np.uint32(buckets)).astype(np.int32)
         for done in (True, False):
             chosen = np.flatnonzero(settled == done)
             chosen = chosen[np.lexsort((place[chosen], key[chosen], doc[chosen], bucket[chosen]))]
@@ -211,13 +212,14 @@ def _candidates(window: int, log2: int, shared, buckets: int):
         for batch in slices(batches, "text", _SLICE_BYTES):
             docs = np.asarray(batch.column("doc"), np.int64)
             keys = np.asarray(batch.column("key"), np.int64)
-            for first, row, place, h1, h2 in _windows(batch, window):
+            for first, row, place, h1, h2, lead in _windows(batch, window):
                 near = np.ones(len(h1), bool)
                 for r, at in enumerate(_places(h1, h2, log2)):
                     near &= (bits[r][at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & 1 > 0
                 row = first + row[near]
                 low = h2[near].astype(np.uint32)  # 96 bits tell windows apart
-                held.append((docs[row], keys[row], place[near].astype(np.uint32), h1[near], low))
+                bucket = (lead[near] % np.uint64(buckets)).astype(np.int32)
+                held.append((docs[row], keys[row], place[near].astype(np.uint32), h1[near], low, bucket))
                 n += len(row)
                 if n >= _FLUSH_CANDIDATES:
                     yield from flush(held)
