@@ -19,8 +19,8 @@ from content_signals.llm.common import as_bytes, bounded_sample, slices
 from content_signals.llm.hashing import Words, chunks
 
 #: Bounds of the rows that the fit reads: trusted positives and unlabelled texts.
-MAX_POSITIVES = 6_000
-MAX_UNLABELLED = 12_000
+MAX_POSITIVES = 4_000
+MAX_UNLABELLED = 8_000
 THRESHOLD = 0.7
 _SLICE_BYTES = 4 << 20
 _HIDDEN = 16
