@@ -166,14 +166,15 @@ def pad_to_minimum(spark, sf_dir):
 @query
 def top_n_per_query(spark, sf_dir):
     hits = t.video_details(spark, sf_dir)
-    top = d.top_n_per_query(hits, t.query_specs(spark, sf_dir), max_pages=None)
+    top = d.top_n_per_query(hits, t.query_specs(spark, sf_dir))
     return _events(top, "query", "id")
 
 
 @query
 def first_pages_per_query(spark, sf_dir):
-    """The same under the default bound of three pages of fifty."""
-    top = d.top_n_per_query(t.video_details(spark, sf_dir), t.query_specs(spark, sf_dir))
+    """The same within three landed pages, whose sizes differ."""
+    hits = t.video_details(spark, sf_dir).withColumn("page", F.floor(F.col(ORD) / 50).cast("int"))
+    top = d.top_n_per_query(hits, t.query_specs(spark, sf_dir), max_pages=3)
     return _events(top, "query", "id")
 
 
@@ -737,7 +738,7 @@ def ready_and_prompts(spark, sf_dir):
     """Sources to ranked prompts."""
     return ready_prompts.ready_and_prompts(
         t.sources(spark, sf_dir), t.sample_templates(spark)
-    )[1].drop("raw_text")
+    )[1]
 
 
 @query
@@ -756,7 +757,7 @@ def _collection(spark, sf_dir) -> video_collection.Collection:
     details = t.video_details(spark, sf_dir)
     hits = details.select("query", "id", ORD)
     return video_collection.collect_videos(
-        hits, details, t.query_specs(spark, sf_dir), max_pages=None
+        hits, details, t.query_specs(spark, sf_dir)
     )
 
 

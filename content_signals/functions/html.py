@@ -6,24 +6,49 @@ from pyspark.sql import Column, functions as F
 
 from content_signals.functions.text import trim_ws
 
-_ANCHOR = r"(?is)<a\s[^>]*>.*?(?=</a\s*>|<a\s|$)"
+#: Parts of a page that hold no links: comments, scripts, styles.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
+#: An opening tag, whose quoted values may hold ``>``; with a stray quote, up to the next ``>``.
+_TAG = r"(?:<a\s(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|<a\s[^>]*>)"
+_ANCHOR = rf"(?is){_TAG}.*?(?=</a\s*>|<a\s|$)"
 _VALUE = r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
-_HREF = r"(?is)^<a\s(?:[^>]*?\s)?href" + _VALUE
-_TITLE = r"(?is)^<a\s(?:[^>]*?\s)?title" + _VALUE
-_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", "\xa0"),
-    ("&amp;", "&"),
-]
+_OTHERS = r"(?:[^\s=>\"']+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+))?\s*)*?"
+_HREF = rf"(?is)^<a\s+{_OTHERS}(?<![\w-])href{_VALUE}"
+_TITLE = rf"(?is)^<a\s+{_OTHERS}(?<![\w-])title{_VALUE}"
+#: Named characters; fixed values. The ampersand comes last, so that nothing is decoded twice.
+_ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0", "hellip": "…", "ndash": "–", "mdash": "—",
+    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»", "copy": "©", "reg": "®",
+    "agrave": "à", "ccedil": "ç", "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë", "icirc": "î",
+    "ocirc": "ô", "ugrave": "ù", "ucirc": "û", "ntilde": "ñ", "auml": "ä", "ouml": "ö", "uuml": "ü", "szlig": "ß",
+    "amp": "&",
+}
+_NUMBER = r"^([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+
+
+def _numbered(col: Column) -> Column:
+    """Characters given by decimal or hexadecimal number; numbers of no character stay."""
+
+    def one(part: Column, place: Column) -> Column:
+        number = F.regexp_extract(part, _NUMBER, 1)
+        digits = F.when(
+            F.lower(number).startswith("x"), F.conv(F.substring(number, 2, 8), 16, 10)
+        ).otherwise(number)
+        code = digits.try_cast("bigint")
+        known = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = F.substring(part, F.length(number) + 2, F.length(part))
+        return F.when(place == 0, part).otherwise(
+            F.when((number != "") & known, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), part))
+        )
+
+    return F.array_join(F.transform(F.split(col, "&#", -1), one), "")
 
 
 def decode_entities(col: Column) -> Column:
-    out = col
-    for name, char in _ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
+    out = F.when(col.contains("&#"), _numbered(col)).otherwise(col)
+    for name, char in _ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
     return F.when(col.contains("&"), out).otherwise(col)
 
 
@@ -39,7 +64,8 @@ def anchors(html: Column, part: str = "") -> Column:
     The title is the title attribute, else the anchor's text without markup. Each
     step is an array of its own, so that an element is worked out only once.
     """
-    found = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0))
+    shown = F.regexp_replace(html, _HIDDEN, "")
+    found = F.regexp_extract_all(shown, F.lit(_ANCHOR), F.lit(0))
     if part:
         found = F.filter(found, lambda a: a.contains(part))
     raw = F.transform(
@@ -47,7 +73,7 @@ def anchors(html: Column, part: str = "") -> Column:
         lambda a: F.struct(
             F.regexp_extract(a, _HREF, 1).alias("href"),
             F.regexp_extract(a, _TITLE, 1).alias("title"),
-            F.regexp_replace(a, r"(?is)^<a\s[^>]*>|\s*<[^>]*>\s*", "").alias("text"),
+            F.regexp_replace(a, rf"(?is)^{_TAG}|\s*<[^>]*>\s*", "").alias("text"),
         ),
     )
     return F.transform(

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from content_signals.constants import (
-    DEFAULT_MAX_PAGES,
     MASTER_COLUMNS,
     MINIMUM_RESULTS,
     ORD,
@@ -96,27 +95,46 @@ def concat_collections(*collections: DataFrame) -> DataFrame:
 def top_n_per_query(
     df: DataFrame,
     specs: DataFrame,
-    max_pages: int | None = DEFAULT_MAX_PAGES,
+    max_pages: int | None = None,
     page_size: int = PAGE_SIZE,
 ) -> DataFrame:
-    """At most ``max_results`` rows of each query in arrival order.
+    """At most ``max_results`` rows with an id of each query, in arrival order.
 
-    ``max_pages`` pages of ``page_size`` bound it further; ``None`` lifts that, and
-    a column ``max_pages`` of the specs takes its place where it is not null. Rows
-    of a query without a spec go.
+    Rows whose ``id`` is blank don't count towards the limit and go, as do rows of a
+    query without a spec. ``max_pages`` bounds the pages that are looked at, blank
+    ids included; a column ``max_pages`` of the specs takes its place where it is not
+    null. Pages are those of the column ``page``, which counts up by one from a
+    query's first page, or else ``page_size`` rows each.
     """
-    limit = F.col("max_results")
-    bound = None if max_pages is None else max_pages * page_size
+    pages = F.lit(max_pages).cast("bigint")
     if "max_pages" in specs.columns:
-        limit = F.least(limit, F.coalesce(F.col("max_pages") * page_size, F.lit(bound)))
-        bound = None
-    limits = specs.select("query", limit.alias("_limit"))
+        pages = F.coalesce(F.col("max_pages").cast("bigint"), pages)
+    limits = specs.select("query", F.col("max_results").alias("_limit"), pages.alias("_pages"))
     rows = lookup_join(df, limits, ["query"], "inner")
-    if bound is not None and bound <= _PRE_SHUFFLE_LIMIT:
-        window = Window.partitionBy("query").orderBy(ORD)
-        placed = rows.withColumn("_place", F.row_number().over(window))
-    else:
-        placed = add_position(rows, ["query"], "_place")
-    if bound is not None:
-        placed = placed.filter(F.col("_place") <= bound)
-    return placed.filter(F.col("_place") <= F.col("_limit")).drop("_place", "_limit")
+    bounded = max_pages is not None or "max_pages" in specs.columns
+    if bounded and "page" in df.columns:
+        first = df.groupBy("query").agg(F.min("page").alias("_first"))
+        rows = lookup_join(rows, first, ["query"], "inner").filter(
+            F.col("_pages").isNull() | (F.col("page") < F.col("_first") + F.col("_pages"))
+        )
+        rows = rows.drop("_first")
+    elif bounded:
+        rows = _numbered(rows, "_row", max_pages, page_size, "max_pages" in specs.columns).filter(
+            F.col("_pages").isNull() | (F.col("_row") <= F.col("_pages") * page_size)
+        )
+        rows = rows.drop("_row")
+    if "id" in df.columns:
+        rows = rows.filter(F.coalesce("id", F.lit("")) != "")
+    placed = add_position(rows, ["query"], "_place")
+    return placed.filter(F.col("_place") <= F.col("_limit")).drop("_place", "_limit", "_pages")
+
+
+def _numbered(
+    rows: DataFrame, name: str, max_pages: int | None, page_size: int, by_spec: bool
+) -> DataFrame:
+    """Number the rows of each query; a small bound common to all is cut before the shuffle."""
+    if by_spec or max_pages is None or max_pages * page_size > _PRE_SHUFFLE_LIMIT:
+        return add_position(rows, ["query"], name)
+    window = Window.partitionBy("query").orderBy(ORD)
+    numbered = rows.withColumn(name, F.row_number().over(window))
+    return numbered.filter(F.col(name) <= max_pages * page_size)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from content_signals.constants import PAGE_SIZE, WATCH_PREFIX
+from content_signals.constants import WATCH_PREFIX
 from content_signals.functions.html import anchors
 from content_signals.functions.urls import canonical_watch_url
 
@@ -45,14 +45,14 @@ def _first_per_url(df: DataFrame) -> DataFrame:
 def extract_page_links(
     df: DataFrame,
     link_part: str = WATCH_LINK,
-    max_results: int | None = PAGE_SIZE,
+    max_results: int | None = None,
     canonical: bool = True,
     raw_pattern: bool = False,
 ) -> DataFrame:
     """``(page_id, pos, source_url, title)`` of the links on each page.
 
     Anchors whose address holds ``link_part``, each URL once per page, the first
-    ``max_results`` (``None``: all) of a page in page order. ``canonical``
+    ``max_results`` of a page in page order, if given. ``canonical``
     rewrites to watch URLs and drops links without an id. ``raw_pattern`` looks
     for watch links in the raw text instead, with blank titles.
 

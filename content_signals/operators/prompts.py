@@ -38,11 +38,14 @@ def with_template(
     """Add the struct ``_template`` that the row is rendered with.
 
     By default every row takes the template set named ``default``. ``per_row``
-    lets the column ``prompt_template`` choose, with that set as the fallback.
+    lets the column ``prompt_template`` choose, with that set as the fallback. If
+    there is no such set, rows that need it raise an error.
     """
     fields = [c for c in templates.columns if c != "template"]
     sets = templates.select("template", F.struct(*fields).alias(_SET))
-    fallback = sets.filter(F.col("template") == default).select(_SET).scalar()
+    found = sets.filter(F.col("template") == default).select(_SET).scalar()
+    missing = F.raise_error(F.lit(f"no template set is named {default!r}"))
+    fallback = F.when(found.isNull(), missing).otherwise(found)
     if not per_row:
         return df.withColumn(_SET, fallback)
     chosen = sets.withColumnRenamed("template", "prompt_template")

@@ -26,7 +26,7 @@ from content_signals.functions.keywords import (
 )
 from content_signals.functions.text import trim_ws
 from content_signals.functions.times import utc
-from content_signals.plans.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measured
+from content_signals.plans.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measured, salted_join
 from content_signals.plans.staging import stage
 
 NEUTRAL = 0.5
@@ -38,9 +38,13 @@ DATE_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
     "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS][XXX]",
     "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy",
+    "yyyy/M/d",
+    "yyyyMMdd",
+    "M/d/yyyy",
     "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "d MMM yyyy",
+    "d MMMM yyyy",
 ]
 
 
@@ -155,16 +159,16 @@ def _score_frequency(
     if n == 0:
         return df.withColumn("frequency_score", F.coalesce(direct, neutral))
 
+    small = n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
     def maybe_broadcast(side: DataFrame) -> DataFrame:
         # the scores are no more rows than the words measured; beyond the bound the
-        # joins shuffle, by words of which none is hot and by _ord, which is unique
-        return F.broadcast(side) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else side
+        # join shuffles by _ord, which is unique
+        return F.broadcast(side) if small else side
 
-    scores = (
-        tokens.join(maybe_broadcast(cold), "token")
-        .groupBy(ORD)
-        .agg((F.max("n") / highest).alias("_cold"))
-    )
+    # beyond the bound a cold word, too, may have many rows: those are salted
+    counted = tokens.join(F.broadcast(cold), "token") if small else salted_join(cold, tokens, ["token"], "inner")
+    scores = counted.groupBy(ORD).agg((F.max("n") / highest).alias("_cold"))
     return (
         df.join(maybe_broadcast(scores), ORD, "left")
         .withColumn("frequency_score", F.coalesce(F.col("_cold"), direct, neutral))

@@ -361,14 +361,20 @@ SELECT source_url, '' AS niche, '' AS lang, '' AS rights, '' AS usage_strategy,
   'YOUTUBE' AS origin_platform FROM (SELECT * FROM found UNION ALL SELECT * FROM seeds)"""
 _PLACED = f"""{_VIDEO}, placed AS (
   SELECT vid.*, max_results, row_number() OVER (PARTITION BY vid.query ORDER BY vid.ord) AS place
-  FROM vid JOIN spec ON vid.query = spec.query
+  FROM vid JOIN spec ON vid.query = spec.query WHERE id <> ''
 )"""
 SQL["top_n_per_query"] = _with(
     _PLACED, "SELECT ord AS event_id, query, id FROM placed WHERE place <= max_results"
 )
 SQL["first_pages_per_query"] = _with(
-    _PLACED,
-    "SELECT ord AS event_id, query, id FROM placed WHERE place <= least(max_results, 150)",
+    f"""{_VIDEO}, paged AS (
+  SELECT vid.*, ord // 50 AS page, min(ord // 50) OVER (PARTITION BY query) AS first_page FROM vid
+), early AS (
+  SELECT paged.*, max_results,
+    row_number() OVER (PARTITION BY paged.query ORDER BY paged.ord) AS place
+  FROM paged JOIN spec ON paged.query = spec.query WHERE page < first_page + 3 AND id <> ''
+)""",
+    "SELECT ord AS event_id, query, id FROM early WHERE place <= max_results",
 )
 SQL["concat_collections"] = _with(
     _VIDEO,
@@ -482,8 +488,7 @@ _WATCH_HIT = """watch_hit AS (
 )"""
 SQL["extract_watch_links"] = _with(
     f"{_ANCHORS}, {_WATCH_HIT}",
-    """SELECT page_id, CAST(place - 1 AS INTEGER) AS pos, source_url, title FROM watch_placed
-WHERE place <= 50""",
+    """SELECT page_id, CAST(place - 1 AS INTEGER) AS pos, source_url, title FROM watch_placed""",
 )
 SQL["extract_raw_watch_links"] = _with(
     f"""{_ANCHORS}, raw_link AS (
@@ -815,7 +820,7 @@ SQL["export_prompt_text_unranked"] = _named("ORDER BY ord")
 # --- whole jobs ------------------------------------------------------------
 
 SQL["ready_and_prompts"] = _with(
-    _READY, f"SELECT {_PROMPT_LIST.replace(' raw_text,', '')} FROM ready"
+    _READY, f"SELECT {_PROMPT_LIST} FROM ready"
 )
 # Half of a query's hits are taken; a video's details are those of its first event.
 _COLLECTED = f"""{_PLACED}, taken AS (

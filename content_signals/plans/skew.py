@@ -10,8 +10,8 @@ from content_signals.plans.staging import stage
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-HEAVY_SHARE = 200  # a key is heavy above 1/200 of the rows, so there are fewer than 200
-SALTS = 64
+ROWS_PER_TASK = 1_000_000  # a key with more rows is heavy, and split into parts of that size
+MOST_HEAVY = 10_000  # bounds the heavy keys, which are broadcast: parts grow beyond it
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -30,8 +30,8 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def measured(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[int, int]:
     """Rows and bytes of a table, of which no more than ``rows + 1`` rows are read."""
-    part = df.limit(rows + 1)
-    return tuple(part.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first())
+    sizes = df.select(_row_bytes(df).alias("size")).limit(rows + 1)  # only sizes go to one task
+    return tuple(sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first())
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -40,10 +40,14 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
     return n <= rows and total <= size
 
 
-def heavy_keys(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys above 1/200 of all rows, out of a table ``(keys..., n)``; under 200 rows."""
-    share = counts.agg((F.sum("n") / HEAVY_SHARE).alias("share")).scalar()
-    return stage(counts.filter(F.col("n") > share).select(*keys), "heavy-keys")
+def heavy_keys(counts: DataFrame, keys: list[str], target: int = ROWS_PER_TASK) -> DataFrame:
+    """``(keys..., _salts)``: keys with more rows than a task should get, and their parts.
+
+    ``counts`` is a table ``(keys..., n)``. There are at most ``MOST_HEAVY`` such keys.
+    """
+    part = counts.agg(F.greatest(F.sum("n") / MOST_HEAVY, F.lit(target).cast("double"))).scalar()
+    heavy = counts.filter(F.col("n") > part)
+    return stage(heavy.select(*keys, F.ceil(F.col("n") / part).cast("int").alias("_salts")), "heavy-keys")
 
 
 def salted_join(
@@ -53,31 +57,34 @@ def salted_join(
     how: str = "left",
     spread: Column | None = None,
     counts: DataFrame | None = None,
+    target: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join a table to a lookup table, spreading heavy and null keys over tasks.
 
-    ``right`` holds each key once. Rows of a heavy key get one of 64 salts and
-    the key's lookup row is repeated 64 times; all other keys are left alone.
+    ``right`` holds each key once. Rows of a heavy key get one of so many salts that
+    ``target`` rows share one, and the key's lookup row is repeated for each; other
+    keys are left alone. Rows without a key match nothing and are spread at will.
     ``counts`` gives the rows per key of ``left`` when they are already known.
     """
     if counts is None:
         counts = left.groupBy(*keys).agg(F.count("*").alias("n"))
-    heavy = heavy_keys(counts, keys).withColumn("_heavy", F.lit(True))
+    heavy = heavy_keys(counts, keys, target)
     spread = F.col(ORD) if spread is None else spread
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    hashed = F.xxhash64(spread)
     salted = left.join(F.broadcast(heavy), keys, "left").withColumn(
-        "_salt", F.when(F.col("_heavy") | no_key, salt).otherwise(0)
-    )
-    all_salts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
+        "_salt",
+        F.when(no_key, (hashed % F.lit(1 << 30)).cast("int"))
+        .when(F.col("_salts").isNotNull(), F.pmod(hashed, F.col("_salts")).cast("int"))
+        .otherwise(0),
     )
+    all_salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     repeated = right.join(F.broadcast(heavy), keys, "left").withColumn(
         "_salt", F.explode(all_salts)
     )
-    return salted.drop("_heavy").join(repeated.drop("_heavy"), keys + ["_salt"], how).drop("_salt")
+    return salted.drop("_salts").join(repeated.drop("_salts"), keys + ["_salt"], how).drop("_salt")
 
 
 def lookup_join(

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from content_signals.constants import DEFAULT_MAX_PAGES, ORD, PAGE_SIZE, SEARCH_PAGE_QUOTA
+from content_signals.constants import ORD, PAGE_SIZE, SEARCH_PAGE_QUOTA
 from content_signals.operators.dedup import dedup_video_ids, distinct_ids, keep_first, top_n_per_query
 from content_signals.operators.videos import (
     attribute_query,
@@ -33,7 +33,7 @@ def collect_videos(
     hits: DataFrame,
     details: DataFrame,
     specs: DataFrame,
-    max_pages: int | None = DEFAULT_MAX_PAGES,
+    max_pages: int | None = None,
     search_calls: Column | None = None,
     cache_hits: Column | None = None,
     keep=None,
@@ -52,7 +52,9 @@ def collect_videos(
     taken = top_n_per_query(hits, specs, max_pages)
     ids = stage(distinct_ids(taken, ["query"]), "video-ids")
     # One row per (query, id) on the left and one per id on the right: no key is hot.
-    first = keep_first(details, ["id"], [ORD] if ORD in details.columns else ["id"])
+    if ORD not in details.columns:
+        raise ValueError(f"details need an order, {ORD}: the first item of an id counts")
+    first = keep_first(details, ["id"])
     found = ids.join(first.select("id", "snippet", "statistics"), "id")
     items = stage(normalize_videos(found), "video-items")
 

@@ -34,16 +34,9 @@ SAMPLE_TEMPLATE = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A table; by ``key`` it is spread over all cores if its scan has fewer tasks.
-
-    A small table is one file of one row group, which a single task would read
-    and work on. The scan of a large one has tasks enough and is left alone. The
-    number of tasks is known from planning; nothing is read for it.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if key and df.rdd.getNumPartitions() < cores else df
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; how its scan is split is the session's to say."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(key: Column, values: list[str | None]) -> Column:
@@ -76,7 +69,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.max("quality").alias("quality")
     )
-    docs = _table(spark, sf_dir, "documents", "doc_id").join(labels, "doc_id", "left")
+    docs = _table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
     key = F.col("doc_id")
     hours = F.pmod(key, F.lit(20000))
     ts = F.timestamp_seconds(F.lit(1704067200) + hours * 3600)
@@ -111,7 +104,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyword_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources without a given niche on most rows, and with raw text to tell it from."""
     key = F.col("doc_id")
-    return _table(spark, sf_dir, "documents", "doc_id").select(
+    return _table(spark, sf_dir, "documents").select(
         key.alias(ORD),
         _pick(key, ["", " ", "story "] + [""] * 4).alias("niche"),
         F.concat(F.col("text"), F.lit(" "), _pick(key, KEYWORDS)).alias("raw_text"),
@@ -136,7 +129,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(_ord, source_url, title)``: links of every kind, one per document."""
     key = F.col("doc_id")
     pattern = _pick(key, LINKS)
-    return _table(spark, sf_dir, "documents", "doc_id").select(
+    return _table(spark, sf_dir, "documents").select(
         key.alias(ORD),
         F.replace(pattern, F.lit("{k}"), _div(key, 20)).alias("source_url"),
         F.col("source").alias("title"),
@@ -186,7 +179,7 @@ def query_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "pages", "page_id")
+    return _table(spark, sf_dir, "pages")
 
 
 def sample_templates(spark: SparkSession) -> DataFrame:

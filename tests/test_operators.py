@@ -228,7 +228,8 @@ def test_video_collection(spark):
         [{"query": "one", "priority": "high", "max_results": 3, "min_views": 200},
          {"query": "two", "max_results": 2}, {"query": "idle"}],
     )
-    run = collect_videos(hits, _details(spark), specs, search_calls=F.lit(4))
+    details = _details(spark).withColumn(ORD, F.monotonically_increasing_id())
+    run = collect_videos(hits, details, specs, search_calls=F.lit(4))
     got = {r.id: (r.query, r.source_extra.query_priority) for r in run.videos.collect()}
     # b belongs to the first query; c has no title; a has too few views for the
     # first query and lies beyond the second one's limit
@@ -240,7 +241,7 @@ def test_video_collection(spark):
         "rows_after_quality_filter": 1, "rows_final": 1, "api_search_calls": 4,
         "api_videos_calls": 2, "cache_hits": 0, "quota_units_estimated": 404,
     }
-    every = collect_videos(hits, _details(spark), specs, keep=lambda df: df, max_pages=None)
+    every = collect_videos(hits, details, specs, keep=lambda df: df, max_pages=None)
     assert sorted(r.id for r in every.videos.collect()) == ["b", "c"]
 
 
@@ -292,3 +293,43 @@ def test_link_verdicts(table):
     assert got[2] == got[3] == (
         '{"trend_score":1,"trend_reason":"link not found","improvement_prompt":""}'
     )
+
+
+def test_blank_ids_and_pages_in_limits(spark):
+    ids = [None, "a", "", "b", "c", "d"]
+    hits = spark.createDataFrame(
+        [("q", i, n, n // 2 + 1) for n, i in enumerate(ids)], f"query string, id string, {ORD} bigint, page int"
+    )
+    specs = spark.createDataFrame([("q", 2)], "query string, max_results bigint")
+    top = lambda **limits: [r.id for r in dedup.top_n_per_query(hits, specs, **limits).orderBy(ORD).collect()]
+    assert top() == ["a", "b"]
+    assert top(max_pages=1) == ["a"]
+    assert top(max_pages=2) == ["a", "b"]
+
+
+def test_links_of_untidy_pages(spark):
+    many = "".join(f'<a href="/watch?v=many{i:04}">{i}</a>' for i in range(70))
+    html = (
+        '<!-- <a href="/watch?v=hidden1">no</a> --><script>"<a href=\'/watch?v=hidden2\'>"</script>'
+        '<a data-x="a>b" data-href="/x" href="/watch?v=abcdef2">it&#x27;s &eacute; &#233; &amp;lt;</a>' + many
+    )
+    rows = links.extract_page_links(spark.createDataFrame([(1, html)], "page_id bigint, html string")).collect()
+    assert len(rows) == 71
+    assert (rows[0].source_url[-7:], rows[0].title) == ("abcdef2", "it's é é &lt;")
+
+
+def test_a_missing_template_set_raises(spark):
+    from content_signals.tables import sample_templates
+
+    other = sample_templates(spark).filter("template <> 'default'")
+    row = spark.createDataFrame([("u", "viral")], "source_url string, usage_strategy string")
+    with pytest.raises(Exception, match="no template set"):
+        prompts.with_template(row, other).collect()
+
+
+def test_date_spellings(spark):
+    given = ["1/2/2024", "15 Jan 2024", "January 15, 2024", "20240115", "2024/1/5", "Jan 3, 2024", "soon"]
+    rows = spark.createDataFrame(list(enumerate(given)), "i int, t string")
+    got = rows.orderBy("i").select(trends.parse_timestamp(F.col("t")).cast("date").cast("string")).collect()
+    want = ["2024-01-02", "2024-01-15", "2024-01-15", "2024-01-15", "2024-01-05", "2024-01-03", None]
+    assert [r[0] for r in got] == want
