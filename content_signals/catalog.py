@@ -110,6 +110,19 @@ def _landed_search(spark, sf_dir) -> DataFrame:
     return landed_json.read_pages(spark, path, landed_json.SEARCH_PAGE)
 
 
+def _landed_details(spark, sf_dir) -> DataFrame:
+    """The events' details as landed pages of up to fifty items."""
+    details = t.video_details(spark, sf_dir)
+    item = F.struct(F.col(ORD).alias("place"), F.struct("id", "snippet", "statistics").alias("item"))
+    grouped = details.groupBy(F.floor(F.col(ORD) / 50).cast("int").alias("page")).agg(
+        F.array_sort(F.collect_list(item)).alias("m")
+    )
+    paged = grouped.select("page", F.transform("m", lambda x: x["item"]).alias("items"))
+    path = new_path(spark, "details-json")
+    paged.write.json(path)
+    return landed_json.read_pages(spark, path, landed_json.DETAILS_PAGE)
+
+
 @query
 def video_items_from_json(spark, sf_dir):
     items = landed_json.video_items_from_json(_landed_search(spark, sf_dir))
@@ -754,10 +767,14 @@ def run_trend_scoring(spark, sf_dir):
 
 
 def _collection(spark, sf_dir) -> video_collection.Collection:
-    details = t.video_details(spark, sf_dir)
-    hits = details.select("query", "id", ORD)
+    """From landed search and detail pages; their numbers give the order of arrival."""
+    found = _landed_search(spark, sf_dir).withColumn(ORD, F.struct("page"))
+    details = _landed_details(spark, sf_dir).withColumn(ORD, F.struct("page"))
     return video_collection.collect_videos(
-        hits, details, t.query_specs(spark, sf_dir)
+        landed_json.search_hits(found),
+        landed_json.page_items(details),
+        t.query_specs(spark, sf_dir),
+        pages=found,
     )
 
 

@@ -92,6 +92,15 @@ def concat_collections(*collections: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def one_spec_per_query(specs: DataFrame) -> DataFrame:
+    """The specs; a query that stands in two of them fails the job, since lookups by
+    query would give each of its hits twice."""
+    times = F.count("*").over(Window.partitionBy("query"))
+    error = F.raise_error(F.concat(F.lit("query in more than one spec: "), F.col("query")))
+    once = F.when(F.col("_times") > 1, error.cast("boolean")).otherwise(True)
+    return specs.withColumn("_times", times).filter(once).drop("_times")
+
+
 def top_n_per_query(
     df: DataFrame,
     specs: DataFrame,
@@ -101,11 +110,12 @@ def top_n_per_query(
     """At most ``max_results`` rows with an id of each query, in arrival order.
 
     Rows whose ``id`` is blank don't count towards the limit and go, as do rows of a
-    query without a spec. ``max_pages`` bounds the pages that are looked at, blank
+    query without a spec; two specs of one query are an error. ``max_pages`` bounds the pages that are looked at, blank
     ids included; a column ``max_pages`` of the specs takes its place where it is not
     null. Pages are those of the column ``page``, which counts up by one from a
     query's first page, or else ``page_size`` rows each.
     """
+    specs = one_spec_per_query(specs)
     pages = F.lit(max_pages).cast("bigint")
     if "max_pages" in specs.columns:
         pages = F.coalesce(F.col("max_pages").cast("bigint"), pages)

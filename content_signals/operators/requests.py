@@ -10,6 +10,7 @@ from content_signals.constants import CACHE_TTL_SECONDS, PAGE_SIZE, SEARCH_PAGE_
 from content_signals.functions.times import utc
 from content_signals.operators.dedup import distinct_ids
 from content_signals.plans.order import add_position
+from content_signals.plans.skew import lookup_join
 
 
 def id_batches(df: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
@@ -27,6 +28,41 @@ def id_batches(df: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
     )
 
 
+def search_pages_read(
+    pages: DataFrame, taken: DataFrame, specs: DataFrame, max_pages: int | None = None
+) -> DataFrame:
+    """``(query, search_calls)``: the landed pages a run of the specs asks for.
+
+    ``pages`` are the landed ones (``query, page``), ``taken`` the hits within the
+    limits (``query, page``). A query's pages are asked for in order until it has its
+    ``max_results``, ``max_pages`` is reached, or no page is left; a query that wants
+    no result asks for none.
+    """
+    landed = pages.select("query", "page").distinct()
+    first = landed.groupBy("query").agg(F.min("page").alias("_first"))
+    reached = taken.groupBy("query").agg(F.count("*").alias("_n"), F.max("page").alias("_last"))
+    bound = F.lit(max_pages).cast("bigint")
+    if "max_pages" in specs.columns:
+        bound = F.coalesce(F.col("max_pages").cast("bigint"), bound)
+    limits = (
+        specs.select("query", F.col("max_results").alias("_wanted"), bound.alias("_pages"))
+        .join(first, "query")
+        .join(reached, "query", "left")
+        .select(
+            "query",
+            F.when(F.col("_wanted") <= 0, F.col("_first") - 1)
+            .when(F.col("_n") >= F.col("_wanted"), F.col("_last"))
+            .alias("_last"),
+            (F.col("_first") + F.col("_pages")).alias("_end"),
+        )
+    )
+    asked = lookup_join(landed, limits, ["query"], "inner", spread=F.col("page")).filter(
+        F.coalesce(F.col("page") <= F.col("_last"), F.lit(True))
+        & F.coalesce(F.col("page") < F.col("_end"), F.lit(True))
+    )
+    return asked.groupBy("query").agg(F.count("*").alias("search_calls"))
+
+
 def quota_estimate(search_pages: DataFrame, batches: DataFrame) -> DataFrame:
     """Per query: search calls, detail calls, and the quota units they cost
     (100 a search page, 1 an id)."""

@@ -10,6 +10,7 @@ from content_signals.constants import ORD
 from content_signals.functions.fields import has_field, text_field
 from content_signals.functions.text import count_or_zero
 from content_signals.functions.urls import canonical_watch_url
+from content_signals.operators.dedup import one_spec_per_query
 from content_signals.plans.skew import lookup_join
 
 ITEM_FIELDS = ["platform", "id", "title", "channel", "views", "published_at", "source_extra"]
@@ -56,7 +57,7 @@ def valid_items_filter(df: DataFrame) -> DataFrame:
 
 def with_query_spec(df: DataFrame, specs: DataFrame) -> DataFrame:
     """Add ``query_priority`` and ``min_views`` of the row's query; unknown queries go."""
-    wanted = specs.select("query", F.col("priority").alias("query_priority"), "min_views")
+    wanted = one_spec_per_query(specs).select("query", F.col("priority").alias("query_priority"), "min_views")
     return lookup_join(df, wanted, ["query"], "inner")
 
 
@@ -139,6 +140,7 @@ def query_stats(df: DataFrame, specs: DataFrame) -> DataFrame:
     Rows are first summed per (query, id), so that a query with a large share of
     the rows is spread over its ids; queries without rows get zeros.
     """
+    specs = one_spec_per_query(specs)
     limits = specs.select("query", F.col("min_views").alias("_min"))
     counted = lookup_join(df, limits, ["query"], "inner")
     per_id = counted.groupBy("query", F.nullif(F.col("id"), F.lit("")).alias("id")).agg(

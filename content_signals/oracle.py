@@ -844,16 +844,24 @@ SQL["run_video_collection"] = _with(
 SQL["video_collection_summary"] = _with(
     f"""{_COLLECTED}, calls AS (
   SELECT (count(*) + 49) // 50 AS n FROM taken GROUP BY query
+), reached AS (
+  SELECT query, count(*) AS n, max(ord // 50) AS last_page FROM placed
+  WHERE place <= max_results GROUP BY query
+), asked AS (
+  SELECT DISTINCT vid.query, vid.ord // 50 AS page FROM vid JOIN spec ON vid.query = spec.query
+  LEFT JOIN reached ON vid.query = reached.query
+  WHERE max_results > 0 AND (coalesce(n, 0) < max_results OR vid.ord // 50 <= last_page)
 ), kept AS (SELECT * FROM once WHERE title <> '')""",
     """SELECT 'queries' AS metric, (SELECT count(*) FROM spec) AS value
 UNION ALL SELECT 'global_ids_collected', (SELECT count(DISTINCT id) FROM taken)
 UNION ALL SELECT 'rows_after_dedup', (SELECT count(*) FROM once)
 UNION ALL SELECT 'rows_after_quality_filter', (SELECT count(*) FROM kept)
 UNION ALL SELECT 'rows_final', (SELECT count(*) FROM kept)
-UNION ALL SELECT 'api_search_calls', 0
+UNION ALL SELECT 'api_search_calls', (SELECT count(*) FROM asked)
 UNION ALL SELECT 'api_videos_calls', (SELECT CAST(sum(n) AS BIGINT) FROM calls)
 UNION ALL SELECT 'cache_hits', 0
-UNION ALL SELECT 'quota_units_estimated', (SELECT count(*) FROM taken)""",
+UNION ALL SELECT 'quota_units_estimated',
+  (SELECT count(*) FROM asked) * 100 + (SELECT count(*) FROM taken)""",
 )
 SQL["video_collection_stats"] = _with(
     _COLLECTED,

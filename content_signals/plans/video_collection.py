@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from content_signals.constants import ORD, PAGE_SIZE, SEARCH_PAGE_QUOTA
 from content_signals.operators.dedup import dedup_video_ids, distinct_ids, keep_first, top_n_per_query
+from content_signals.operators.requests import search_pages_read
 from content_signals.operators.videos import (
     attribute_query,
     normalize_videos,
@@ -35,16 +36,20 @@ def collect_videos(
     specs: DataFrame,
     max_pages: int | None = None,
     search_calls: Column | None = None,
+    pages: DataFrame | None = None,
     cache_hits: Column | None = None,
     keep=None,
     rescore=None,
 ) -> Collection:
     """Videos found by the queries, with statistics.
 
-    ``hits``: ``(query, id, _ord)``, the search results in arrival order;
+    ``hits``: ``(query, id, _ord)`` and if landed ``page``, the search results in
+    arrival order;
     ``details``: one item per video id (``id, snippet, statistics``);
     ``specs``: query specs whose ``_ord`` is the order of the queries.
-    ``search_calls`` and ``cache_hits`` come from the request log if there is one.
+    ``search_calls`` and ``cache_hits`` come from the request log if there is one. Without
+    ``search_calls`` they are counted from the landed ``pages`` (``query, page``; default:
+    those of the hits, which leaves out pages without items). Hits without pages count none.
 
     Ids, items and unique videos are staged: the statistics and the summary count
     them without repeating the limits, the join and the deduplication.
@@ -70,6 +75,9 @@ def collect_videos(
 
     zero = F.lit(0)
     calls = zero if search_calls is None else search_calls
+    if search_calls is None and "page" in hits.columns:
+        asked = search_pages_read(hits if pages is None else pages, taken, specs, max_pages)
+        calls = F.coalesce(asked.agg(F.sum("search_calls")).scalar(), zero)
     sent = ids.groupBy("query").agg(F.count("*").alias("n")).agg(
         F.struct(
             F.coalesce(F.sum("n"), zero).alias("ids"),

@@ -47,6 +47,11 @@ def page_items(pages: DataFrame) -> DataFrame:
     )
 
 
+def search_hits(pages: DataFrame) -> DataFrame:
+    """``(query, page, id, _ord)`` of search pages; an item without an id keeps its row."""
+    return page_items(pages).select("query", "page", F.col("id.videoId").alias("id"), ORD)
+
+
 def video_items_from_json(pages: DataFrame, source: str = "query") -> DataFrame:
     """``(source, source_url, title, published_at, channel, id, _ord)`` of search,
     channel or playlist pages; items without an id go."""
