@@ -14,6 +14,7 @@ from content_signals.plans.staging import stage
 
 BUCKET_ROWS = 100_000
 PAGE_ROWS = 100  # rows to expect of one landed page
+MOST_SCORES = 100_000  # combinations of scores, whose totals one task sums up
 
 
 def file_order() -> Column:
@@ -42,21 +43,33 @@ def _bucket(col: Column, kind: T.DataType, rows: int) -> Column:
 
 
 def _bucketed(df: DataFrame, groups: list[str], rows: int) -> tuple[DataFrame, DataFrame]:
-    """The rows with ``_group`` and ``_bucket``, and the staged row count of each bucket."""
+    """The rows with ``_group`` and ``_bucket``, and the staged row count of each bucket.
+
+    The counts are dealt by ranges of (group, bucket), numbered by ``_part``: sparse
+    order keys, such as hashes, make as many buckets as rows.
+    """
     keyed = df.withColumn("_group", F.struct(*groups)).withColumn(
         "_bucket", _bucket(F.col(ORD), df.schema[ORD].dataType, rows)
     )
     sizes = keyed.groupBy("_group", "_bucket").agg(F.count("*").alias("_rows"))
-    return keyed, stage(sizes, "bucket-sizes")
+    ranged = sizes.repartitionByRange("_group", "_bucket").withColumn("_part", F.spark_partition_id())
+    return keyed, stage(ranged, "bucket-sizes")
 
 
 def _starts(sizes: DataFrame) -> DataFrame:
-    """Rows of the group before each bucket."""
-    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    return sizes.select(
-        "_group", "_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
+    """Rows of the group before each bucket: those of earlier parts and of its own part.
+
+    One window sees the parts of a group, the other the buckets of one part of it.
+    """
+    def before(keys: list[str], order: str) -> Column:
+        window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_rows").over(window), F.lit(0))
+
+    parts = sizes.groupBy("_group", "_part").agg(F.sum("_rows").alias("_rows"))
+    parts = parts.select("_group", "_part", before(["_group"], "_part").alias("_earlier"))
+    within = sizes.withColumn("_within", before(["_group", "_part"], "_bucket"))
+    return within.join(parts, ["_group", "_part"]).select(
+        "_group", "_bucket", (F.col("_earlier") + F.col("_within")).alias("_start")
     )
 
 
@@ -88,9 +101,11 @@ def add_rank_position(
     """Number all rows by descending scores, ties in input order.
 
     ``scores`` must be columns of few values (0..100 scores): the totals of their
-    combinations are summed up in one task, so there should be thousands at most.
+    combinations are summed up in one task, so more than ``MOST_SCORES`` are an error.
     """
     keyed, sizes = _bucketed(df, scores, bucket_rows)
+    if sizes.select("_group").distinct().limit(MOST_SCORES + 1).count() > MOST_SCORES:
+        raise ValueError(f"more than {MOST_SCORES} combinations of {scores}")
     better = Window.orderBy(*[F.col("_group")[s].desc() for s in scores]).rowsBetween(
         Window.unboundedPreceding, -1
     )

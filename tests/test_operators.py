@@ -245,6 +245,35 @@ def test_video_collection(spark):
     assert sorted(r.id for r in every.videos.collect()) == ["b", "c"]
 
 
+def test_search_calls_of_landed_pages(spark):
+    pages = spark.createDataFrame(
+        [("full", p) for p in (1, 2, 3, 3)] + [("short", 1), ("short", 2), ("idle", 1), ("other", 1)],
+        "query string, page int",
+    )
+    taken = spark.createDataFrame(
+        [("full", 1), ("full", 2), ("short", 1)], "query string, page int"
+    )
+    specs = query_specs_from_list(
+        spark,
+        [{"query": "full", "max_results": 2}, {"query": "short", "max_results": 9}, {"query": "idle"}],
+    )
+    specs = specs.withColumn("max_results", F.when(F.col("query") == "idle", 0).otherwise(F.col("max_results")))
+
+    def calls(**limits):
+        return {r.query: r.search_calls for r in requests.search_pages_read(pages, taken, specs, **limits).collect()}
+
+    # the second page of "full" holds the last wanted hit; "short" runs out of pages
+    assert calls() == {"full": 2, "short": 2}
+    assert calls(max_pages=1) == {"full": 1, "short": 1}
+
+
+def test_repeated_specs_are_an_error(spark):
+    specs = query_specs_from_list(spark, ["one", "two", "one"])
+    hits = spark.createDataFrame([("one", "a", 0)], f"query string, id string, {ORD} bigint")
+    with pytest.raises(Exception, match="query in more than one spec: one"):
+        dedup.top_n_per_query(hits, specs).collect()
+
+
 def test_durations(column):
     values = ["PT1H2M3S", "PT45S", "P1DT1M", "PT", "1:30", None, "PT10M"]
     assert column(videos.duration_seconds, values) == [3723, 45, 86460, 0, None, None, 600]

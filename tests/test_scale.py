@@ -97,6 +97,31 @@ def test_positions_of_nested_order(spark):
     assert got.filter("position != id + 1").isEmpty()
 
 
+def test_positions_of_sparse_order(spark):
+    """Hashed keys make a bucket of every row; no window sees all buckets of the group."""
+    from content_signals.plans.order import _bucketed, _starts
+
+    rows = spark.range(4000).select(F.xxhash64("id").alias(ORD), F.lit("all").alias("g"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _, sizes = _bucketed(rows, ["g"], 100)
+        per_part = [r["count"] for r in sizes.groupBy("_part").count().collect()]
+        got = add_position(rows, ["g"], bucket_rows=100).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(per_part) > 3900 and max(per_part) < 2000
+    assert _starts(sizes).count() == sum(per_part)
+    want = sorted(got, key=lambda r: r[ORD])
+    assert [r.position for r in want] == list(range(1, 4001))
+
+
+def test_too_many_scores_to_rank(spark, monkeypatch):
+    monkeypatch.setattr("content_signals.plans.order.MOST_SCORES", 10)
+    scored = spark.range(11).select(F.col("id").alias(ORD), F.col("id").alias("a"))
+    with pytest.raises(ValueError, match="combinations"):
+        add_rank_position(scored, ["a"])
+
+
 def test_rank_positions(spark):
     scored = spark.range(2000).select(
         F.col("id").alias(ORD), (F.col("id") * 7 % 5).alias("a"), (F.col("id") * 3 % 4).alias("b")
