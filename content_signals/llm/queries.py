@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from content_signals.llm import (
     bpe,
     decontaminate,
+    fill_in_middle,
+    lexical_search,
     line_dedup,
     pii,
     quality,
@@ -141,6 +143,25 @@ def op10_exact_top_k(spark, sf_dir):
     return top_k.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
+@query
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    arranged = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return arranged.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 _BLANK = r"\x20\x09-\x0D"
 
 SQL: dict[str, str] = {
@@ -193,4 +214,50 @@ SQL: dict[str, str] = {
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
             vec_id, score
         FROM s QUALIFY rank <= 5""",
+    "op11_lexical_search": r"""
+        WITH fold(upper, lower) AS (VALUES ('ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
+        d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), upper, lower),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents, fold),
+        i AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, upper, lower),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark, fold WHERE item_id IS NOT NULL),
+        total AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d WHERE len(words) > 0),
+        tf AS (
+            SELECT r, doc_id, len(words) AS n, term, count(*) AS times
+            FROM (SELECT r, doc_id, words, unnest(words) AS term FROM d) GROUP BY ALL),
+        df AS (SELECT term, count(*) AS held FROM tf GROUP BY term),
+        s AS (
+            SELECT item_id, r, doc_id, sum(floor(1000 * ln((2 * n_docs + 2) / (2 * held + 1)))::BIGINT
+                * ((1000000000 * times) // (1000 * times + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT
+                AS score
+            FROM i JOIN tf USING (term) JOIN df USING (term), total GROUP BY item_id, r, doc_id)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
+            doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 50""",
+    "op13_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+                sha256('7:' || doc_id) AS h
+            FROM documents),
+        u AS (
+            SELECT *, len(lines)::BIGINT AS n, t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR ('0x' || h[17:24])::BIGINT % 100 >= 100 AS plain,
+                ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+                ('0x' || h[25:32])::BIGINT % 100 < 50 AS suffix_first
+            FROM d),
+        c AS (
+            SELECT *, array_to_string(lines[1:least(a, b)], '') AS p,
+                array_to_string(lines[least(a, b) + 1:greatest(a, b)], '') AS m,
+                array_to_string(lines[greatest(a, b) + 1:], '') AS s
+            FROM u)
+        SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN suffix_first THEN 'spm' ELSE 'psm' END AS form,
+            CASE WHEN NOT plain THEN length(p) END::BIGINT AS prefix_chars,
+            CASE WHEN NOT plain THEN length(m) END::BIGINT AS middle_chars,
+            sha256(CASE WHEN plain THEN t WHEN suffix_first THEN '<S>' || s || '<P>' || p || '<M>' || m
+                ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+            sha256(t) AS restored_sha256
+        FROM c""",
 }
