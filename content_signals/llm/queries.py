@@ -17,6 +17,7 @@ from content_signals.llm import (
     quality,
     simhash_dedup,
     substring_dedup,
+    suffix_dedup,
     token_counts,
     top_k,
     toxicity,
@@ -148,6 +149,13 @@ def op11_lexical_search(spark, sf_dir):
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_suffix_array_dedup(spark, sf_dir):
+    cut = suffix_dedup.drop_repeated_bytes(table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 @query
 def op13_fill_in_middle(spark, sf_dir):
     arranged = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))

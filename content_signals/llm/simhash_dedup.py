@@ -214,13 +214,14 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, key, fingerprint, component_id) for every row of ``docs``, fingerprints as signed longs.
+    """(doc_id, key, fingerprint, root, component_id) for every row of ``docs``, fingerprints as signed longs.
 
     ``component_id`` is the smallest ``doc_id`` that can be reached over links, its own
     included. Fingerprints link at ``max_bits`` or fewer differing bits, equal ones of
     course; documents without words have fingerprint zero, linked like any other. A row
     without ``doc_id`` joins its component but cannot name it; a component of such rows
-    alone has none. Repeated rows are linked copies. Other columns are not read.
+    alone has none. ``root`` is the component's smallest fingerprint. Repeated rows are linked
+    copies. Other columns are not read.
 
     Copies are folded into one row per fingerprint before anything is joined, and only
     linked fingerprints take part in the rounds of ``components``.
@@ -234,20 +235,32 @@ def near_copies(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGL
     )
     named = stage(named, "rooted-prints")
     owner = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = named.join(owner, "root").select("fingerprint", "component_id")
-    return printed.join(by_print, "fingerprint").select("doc_id", "key", "fingerprint", "component_id")
+    by_print = named.join(owner, "root").select("fingerprint", "root", "component_id")
+    return printed.join(by_print, "fingerprint").select("doc_id", "key", "fingerprint", "root", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs``, all columns, that name their component: one document of each group.
+def drop_near_copies(
+    docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, per_id: bool = True
+) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each group of near copies.
 
-    A document that stands in several equal rows stays once; of rows that share an id but
-    not their text, those with the smallest text key stay. Rows without ``doc_id`` stay.
+    It is the one with the smallest ``doc_id``; one that stands in several equal rows stays
+    once. Rows may share an id but not their text, and so may name several groups. With
+    ``per_id`` an id is one document, so of its rows only those with the smallest text key
+    stay, and rows without ``doc_id`` stay all. Without it every group keeps a document: of
+    rows that share an id those with its smallest text key, and of a group without ids one row.
     """
-    grouped = near_copies(docs, max_bits, shingle).filter(F.col("doc_id") == F.col("component_id"))
-    keepers = grouped.groupBy("doc_id").agg(F.min("key").alias("key"))
+    copies = near_copies(docs, max_bits, shingle)
     rows = docs.select(F.struct("*").alias("row")).select(
         "row", F.col("row.doc_id").cast("long").alias("doc_id"), text_key(F.col("row.text")).alias("key")
     )
-    named = rows.join(keepers, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
-    return named.union(rows.filter("doc_id is null").select(*named.columns)).select("row.*")
+    if per_id:
+        named = copies.filter(F.col("doc_id") == F.col("component_id"))
+        keepers = named.groupBy("doc_id").agg(F.min("key").alias("key"))
+        kept = rows.join(keepers, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+        return kept.union(rows.filter("doc_id is null").select(*kept.columns)).select("row.*")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    keepers = copies.groupBy("root").agg(F.min(first).alias("k")).select("k.doc_id", "k.key").distinct()
+    keepers = keepers.toDF("_id", "_key")
+    same = rows["doc_id"].eqNullSafe(keepers["_id"]) & (rows["key"] == keepers["_key"])
+    return rows.join(keepers, same, "left_semi").dropDuplicates(["doc_id", "key"]).select("row.*")

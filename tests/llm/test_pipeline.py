@@ -5,9 +5,11 @@ from __future__ import annotations
 import collections
 import hashlib
 import random
+import re
 
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -23,9 +25,11 @@ def _plain(text):
     return "".join(c if ord(c) >= 128 or c.isalnum() else " " for c in text.lower()).split()
 
 
-def _shingles(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+def _fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate({c: c + 32 for c in range(65, 91)}))
+    runs = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
 @pytest.fixture(scope="module")
@@ -90,10 +94,10 @@ def test_stages_and_run(spark, fixture, monkeypatch):
     assert all(r.n_chars == len(r.text) for r in staged[1].collect())
 
     ids = sorted(texts[2])
-    sets, group = {i: _shingles(texts[2][i]) for i in ids}, {i: {i} for i in ids}
+    prints, group = {i: _fingerprint(texts[2][i]) for i in ids}, {i: {i} for i in ids}
     for n, i in enumerate(ids):
         for j in ids[:n]:
-            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and group[i] is not group[j]:
+            if (prints[i] ^ prints[j]).bit_count() <= 2 and group[i] is not group[j]:
                 group[i] |= group[j]
                 for k in group[j]:
                     group[k] = group[i]
@@ -111,3 +115,13 @@ def test_stages_and_run(spark, fixture, monkeypatch):
     for i, t in texts[4].items():
         assert tokens[i].n_tokens == len(library.encode(t, add_special_tokens=False).ids)
         assert tokens[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_an_id_may_name_several_groups(spark):
+    rng = random.Random(2)
+    texts = [" ".join(f"{c}{rng.randrange(10**6)}" for _ in range(60)) for c in "abc"]
+    rows = [(1, t) for t in texts] + [(i + 2, t.upper()) for i, t in enumerate(texts)] + [(None, texts[0]), (1, texts[1])]
+    rows += [(None, "nobody names these words"), (None, "nobody names these words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = collections.Counter(map(tuple, corpus_pipeline.near_deduplication(spark, docs, "").collect()))
+    assert kept == collections.Counter([*rows[:3], rows[-1]])
