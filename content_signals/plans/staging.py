@@ -41,3 +41,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a staged table that nothing will read again; other tables are left alone.
+
+    Whatever was derived from it must have been written by now.
+    """
+    spark = staged.sparkSession
+    folders = {name.rsplit("/", 1)[0] for name in staged.inputFiles()}
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(staging_root(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    below = files.makeQualified(root).toUri().getPath().rstrip("/") + "/"
+    for folder in folders:
+        path = hadoop.Path(folder)
+        if path.toUri().getPath().startswith(below):
+            files.delete(path, True)
