@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from content_signals.llm import bpe, decontaminate, line_dedup, near_dedup, quality
+from content_signals.llm import bpe, decontaminate, line_dedup, quality, simhash_dedup
 from content_signals.llm.common import stage, table
 from content_signals.llm.queries import TOKENIZER, quality_model
 
@@ -32,8 +32,8 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
-    return near_dedup.drop_near_copies(docs)
+    """One document of each group whose SimHash fingerprints are linked, as operator 7 links them."""
+    return simhash_dedup.drop_near_copies(docs, per_id=False)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality_classifier),
     ("line dedup", line_deduplication),
-    ("near-dedup", near_deduplication),
+    ("SimHash near-dedup", near_deduplication),
     ("benchmark decontamination", benchmark_decontamination),
     ("BPE encoding and decoding", tokenization),
 ]
