@@ -71,7 +71,8 @@ def emails(text: str) -> Spans:
 
 def ips(text: str) -> Spans:
     for m in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        parts = [part.lstrip("0") or "0" for part in m[0].split(".")]
+        if all(len(part) <= 3 and int(part) <= 255 for part in parts):
             yield m.span()
 
 
