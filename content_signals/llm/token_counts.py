@@ -83,6 +83,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str) -> DataFrame:
         .join(stored, "digest", "left_anti")
     )
     misses = rows.select("digest", "text", holder).join(missing, ["digest", "holder"], "left_semi")
+    # rows may be equal in both; they are together already, so this moves nothing
+    misses = misses.dropDuplicates(["digest", "holder"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _encoder(tokenizer)
