@@ -6,8 +6,9 @@ round ranks the text of twice as many phrases (from one position to the next): S
 sorts the pairs of a position's rank and the rank as many phrases on by range, equal
 pairs get the rank of the first of them, and unique ones leave. Rounds end when what
 is left is past the threshold. A string of the threshold's length belongs to the
-position chosen first in it. Where all strings of a position stand again together, that is
-settled by one more sort; the others are ranked byte by byte in a last one.
+position chosen first in it. Where all strings of a position stand again together, one more
+sort settles them; of the others the same is asked for runs of ``RUN`` strings, and a last
+sort ranks the strings that are left one by one.
 
 Sorted ranges are cut anywhere, also inside a group of equal pairs, so no task has to
 take a hot group; what crosses a cut is settled from the ends of the ranges.
@@ -27,19 +28,22 @@ from pyspark.sql import types as T
 
 from content_signals.llm.common import as_bytes, slices, stage
 from content_signals.llm.hashing import _CODES, _MIXERS, _RUN_BASES, _powers, mix
-from content_signals.plans.skew import lookup_join
+from content_signals.plans.skew import fits_broadcast, lookup_join
 from content_signals.plans.staging import discard
 
 THRESHOLD = 400
 #: Phrases that the first ranks cover; any string of the threshold's length holds as many.
 FIRST_DEPTH = 2
+#: Strings with neighbouring starts that are settled together before single ones are looked at.
+RUN = 16
 _GRAM = 8
 #: Bytes worked on at once; longer documents are cut into pieces that overlap.
 _PIECE = 1 << 20
 _SLICE_BYTES = 4 << 20
 _PART_SHIFT = 40
-#: A position's strings less one, and the phrases that all of them hold, in one number.
-_SHAPE = 1 << 16
+#: Of a position in one number: its strings, how far it lies behind the first one's start, and the phrases that
+#: must be repeated for any string it is part of.
+_FIELD = 1 << 20
 
 
 def geometry(threshold: int) -> tuple[int, int]:
@@ -116,7 +120,8 @@ def positions(texts: list[bytes], threshold: int, piece: int = _PIECE) -> Iterat
     """(document, number in it, name, first string, shape, hash, second hash) of chosen positions.
 
     The strings of a position start at ``first`` and the next few places. ``name`` stands for
-    the next two phrases, the hashes for all its strings together.
+    the next two phrases, the hashes for all its strings together. A position without strings, near
+    a document's end, is there for those before it.
     """
     gram, width = geometry(threshold)
     before: dict[int, int] = {}
@@ -156,25 +161,26 @@ def positions(texts: list[bytes], threshold: int, piece: int = _PIECE) -> Iterat
         number = number - ranked_before[part] + carried[part]
         f, p = first[owned], part[owned]
         some = f + threshold <= end[owned]
-        upto = np.where(some, np.minimum(last[owned], end[owned] - threshold), f)
-        reach = np.searchsorted(first, np.where(some, f + threshold - width - gram + 1, f), "right") - 1
-        depth = np.where(some, reach - owned, 0)
-        name = of.of(chosen[owned], chosen[ahead[owned]], 0)
-        hashed = upto + np.where(some, threshold, 0)
+        # the last string that starts here, or in front of here, and how far its phrases go
+        latest = np.minimum(f, end[owned] - threshold)
+        reach = np.searchsorted(first, latest + threshold - width - gram + 1, "right") - 1
+        depth = np.maximum(reach - owned, 0)
+        strings = np.where(some, np.minimum(last[owned], end[owned] - threshold) - f + 1, 0)
+        upto = f + np.where(some, strings - 1 + threshold, 0)
         yield (
             doc[owned],
             number[owned],
-            name,
+            of.of(chosen[owned], chosen[ahead[owned]], 0),
             f - offset[p] + base[p],
-            (upto - f) * _SHAPE + depth,
-            of.of(f, hashed, 0),
-            of.of(f, hashed, 1).astype(np.uint32),
+            (strings * _FIELD + chosen[owned] - f) * _FIELD + depth,
+            of.of(f, upto, 0),
+            of.of(f, upto, 1).astype(np.uint32),
         )
 
 
 def _named(threshold: int):
     names = ["row", "i", "a", "first", "shape", "h1", "h2"]
-    kinds = [np.int64, np.int32, np.int64, np.int64, np.int32, np.int64, np.int32]
+    kinds = [np.int64, np.int32, np.int64, np.int64, np.int64, np.int64, np.int32]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -278,25 +284,35 @@ def rank_pairs(pairs: DataFrame, keep_alone: bool = False) -> DataFrame:
 
 
 def _depth() -> Column:
-    return F.col("shape") % _SHAPE
+    return F.col("shape") % _FIELD
+
+
+def _strings_of() -> Column:
+    return F.floor(F.col("shape") / (_FIELD * _FIELD))
 
 
 def doubled(named: DataFrame) -> DataFrame:
-    """Positions whose text is repeated as far as all their strings reach, to a power of two of phrases.
+    """Positions with strings whose text is repeated as far as all these reach, to a power of two of phrases.
 
-    A position without strings takes part, since others are compared across it.
+    Only groups in which some position reaches further are ranked on, with all their members
+    and with the positions that many phrases ahead, which reach as far. A position without
+    strings takes part, since others are compared across it.
     """
     ranked = rank_pairs(named.withColumn("b", F.lit(0).cast("long"))).filter("repeated")
     live = ranked.withColumn("origin", F.col("rank"))
     depth, settled = FIRST_DEPTH, []
     columns = ["row", "i", "first", "shape", "h1", "h2", "origin"]
     while True:
-        settled.append(live.filter((_depth() >= depth) & (_depth() < 2 * depth)).select(*columns))
-        most = live.agg(F.max(_depth())).first()[0]
-        if most is None or most < 2 * depth:
+        past = (_depth() >= depth) & (_depth() < 2 * depth) & (_strings_of() > 0)
+        settled.append(live.filter(past).select(*columns))
+        active = live.filter(_depth() >= 2 * depth).select("rank").distinct()
+        if active.isEmpty():
             break
+        going_on = live
+        if fits_broadcast(active):
+            going_on = live.join(F.broadcast(active), "rank", "left_semi")
         ahead = live.select("row", (F.col("i") - depth).alias("i"), F.col("rank").alias("b"))
-        pairs = live.select(*columns, F.col("rank").alias("a")).join(ahead, ["row", "i"])
+        pairs = going_on.select(*columns, F.col("rank").alias("a")).join(ahead, ["row", "i"])
         live = rank_pairs(pairs).filter("repeated")
         depth *= 2
     out = settled[0]
@@ -305,8 +321,8 @@ def doubled(named: DataFrame) -> DataFrame:
     return out
 
 
-def _strings(threshold: int):
-    """Each string of the listed positions, by two hashes."""
+def _hashed(threshold: int):
+    """Each of the listed runs of strings by two hashes of its bytes; a run is named by its first string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -314,24 +330,61 @@ def _strings(threshold: int):
             columns = (batch.column(c).to_pylist() for c in ("row", "packed", "listed"))
             for row, packed, listed in zip(*columns):
                 text = unpack(packed)
-                spans = sorted((s["first"], s["first"] + s["shape"] // _SHAPE, s["settled"]) for s in listed)
+                spans = sorted((s["start"], s["start"] + s["n"] - 1 + threshold, s["origin"], s["k"], s["settled"]) for s in listed)
                 while spans:
                     low = spans[0][0]
-                    n = next((k for k, s in enumerate(spans) if s[1] + threshold - low > _PIECE and k), len(spans))
+                    n = next((j for j, s in enumerate(spans) if j and s[1] - low > _PIECE), len(spans))
                     now, spans = spans[:n], spans[n:]
-                    first, last, settled = (np.array(c) for c in zip(*now))
-                    of = Hashes(np.frombuffer(text[low : int(last.max()) + threshold], np.uint8))
-                    times = last - first + 1
-                    starts = np.repeat(first - (np.cumsum(times) - times), times) + np.arange(times.sum())
-                    begin = starts - low
-                    arrays = [pa.array(of.of(begin, begin + threshold, k).view(np.int64)) for k in (0, 1)]
-                    arrays += [pa.array(np.full(len(starts), row, np.int64)), pa.array(starts.astype(np.int64))]
-                    arrays.append(pa.array(np.repeat(settled.astype(bool), times)))
-                    yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "row", "i", "settled"])
+                    start, end, origin, k, settled = (np.array(c) for c in zip(*now))
+                    of = Hashes(np.frombuffer(text[low : int(end.max())], np.uint8))
+                    hashes = (of.of(start - low, end - low, j).view(np.int64) for j in (0, 1))
+                    arrays = [*hashes, np.full(n, row, np.int64), start, end - start - threshold + 1, origin, k]
+                    arrays = [pa.array(c.astype(np.int64)) for c in arrays] + [pa.array(settled.astype(bool))]
+                    names = ["a", "b", "row", "i", "n", "origin", "k", "settled"]
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
 
 
+def _runs() -> Column:
+    """The strings of a position in runs: those whose start lies ``RUN`` places or less before the
+    position, the next ``RUN`` ones and so on, so that equal strings are in runs of one number."""
+    first, back = F.col("first"), F.floor(F.col("shape") / _FIELD) % _FIELD
+    place, last = first + back, first + _strings_of() - 1
+    numbers = F.sequence(F.floor((place - last) / RUN), F.floor(back / RUN))
+
+    def run(k: Column) -> Column:
+        start = F.greatest(first, place - k * RUN - RUN + 1)
+        end = F.least(last, place - k * RUN)
+        return F.struct(start.alias("start"), (end - start + 1).alias("n"), "origin", k.alias("k"), "settled")
+
+    return F.explode(F.transform(numbers, run))
+
+
+def _singles() -> Column:
+    """The strings of a run, each by itself."""
+    starts = F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)
+    one = F.lit(1).cast("long")
+    return F.explode(F.transform(starts, lambda x: F.struct(x.alias("start"), one.alias("n"), "origin", "k", "settled")))
+
+
+def _compared(texts: DataFrame, listed: DataFrame, threshold: int, name: str) -> DataFrame:
+    """The listed runs ``(row, one)`` ranked by their bytes."""
+    by_row = listed.groupBy("row").agg(F.collect_list("one").alias("listed"))
+    schema = "a long, b long, row long, i long, n long, origin long, k long, settled boolean"
+    hashed = stage(texts.join(by_row, "row").mapInArrow(_hashed(threshold), schema), name)
+    ranked = rank_pairs(hashed, keep_alone=True)
+    discard(hashed)
+    return ranked
+
+
+def _unsettled(ranked: DataFrame, group: list[str]) -> DataFrame:
+    """What stands once and is not settled, and of its group one of each other kind, which it may overlap with."""
+    open_ = ranked.filter("not repeated and not settled").select(*group).distinct()
+    leading = ranked.filter("leads").withColumn("settled", F.col("settled") | F.col("repeated"))
+    return lookup_join(leading, open_, group, "left_semi", spread=F.col("row"))
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in slices(batches, "packed", _SLICE_BYTES // 4):
@@ -366,35 +419,32 @@ def drop_repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFram
     that share an id, or are equal, all are judged against all. A null ``doc_id`` stays null.
 
     Texts are written once, packed and numbered, to the shared folder, as are the
-    positions of each round; those of the first round are deleted as soon as they are ranked.
+    positions of each round; the positions as they are found are deleted once they are ranked.
     """
     numbered = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
     packed = stage(numbered.mapInArrow(_packed, "doc_id long, row long, packed binary"), "packed-texts")
     texts = packed.select("row", "packed")
     named = stage(
-        texts.mapInArrow(_named(threshold), "row long, i int, a long, first long, shape int, h1 long, h2 int"),
+        texts.mapInArrow(_named(threshold), "row long, i int, a long, first long, shape long, h1 long, h2 int"),
         "named-positions",
     )
     together = doubled(named).select(
         F.col("h1").alias("a"), F.col("h2").cast("long").alias("b"), "row", "i", "first", "shape", "origin"
     )
-    graded = rank_pairs(together, keep_alone=True)
+    whole = rank_pairs(together, keep_alone=True).withColumn("settled", F.lit(False))
     discard(named)
-    # the strings of the rest may stand in those settled: one of each such group goes along
-    rest = graded.filter("not repeated").select("origin").distinct()
-    leading = graded.filter("leads").select("row", "origin", F.struct("first", "shape", F.col("repeated").alias("settled")).alias("one"))
-    compared = lookup_join(leading, rest, ["origin"], "left_semi", spread=F.col("row"))
-    listed = compared.groupBy("row").agg(F.collect_list("one").alias("listed"))
-    strings = texts.join(listed, "row").mapInArrow(
-        _strings(threshold), "a long, b long, row long, i long, settled boolean"
+    runs = _unsettled(whole, ["origin"]).select("row", _runs().alias("one"))
+    runs = _compared(texts, runs, threshold, "runs-of-strings")
+    singles = _unsettled(runs, ["origin", "k"]).select("row", _singles().alias("one"))
+    singles = _compared(texts, singles, threshold, "strings")
+    cuts = whole.filter("repeated").select(
+        "row", F.col("first").alias("start"), (F.col("first") + _strings_of() - 1 + threshold).alias("end")
     )
-    strings = stage(strings, "strings")
-    again = rank_pairs(strings).filter("repeated and not settled")
-    discard(strings)
-    start = F.col("first")
-    width = F.floor(F.col("shape") / _SHAPE)
-    cuts = graded.filter("repeated").select("row", start.alias("start"), (start + width + threshold).alias("end"))
-    cuts = cuts.unionByName(again.select("row", F.col("i").alias("start"), (F.col("i") + threshold).alias("end")))
+    for ranked in (runs, singles):
+        again = ranked.filter("repeated and not settled")
+        cuts = cuts.unionByName(
+            again.select("row", F.col("i").alias("start"), (F.col("i") + F.col("n") - 1 + threshold).alias("end"))
+        )
     cuts = cuts.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
     return packed.join(cuts, "row", "left").select("doc_id", "packed", "cuts").mapInArrow(
         _cut, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
