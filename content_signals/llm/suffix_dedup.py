@@ -7,8 +7,9 @@ sorts the pairs of a position's rank and the rank as many phrases on by range, e
 pairs get the rank of the first of them, and unique ones leave. Rounds end when what
 is left is past the threshold. A string of the threshold's length belongs to the
 position chosen first in it. Where all strings of a position stand again together, one more
-sort settles them; of the others the same is asked for runs of ``RUN`` strings, and a last
-sort ranks the strings that are left one by one.
+sort settles them. The others are taken in runs of ``RUN`` strings: none of a run is repeated if what
+all of them share is not, all are if the run as a whole is, and a last sort ranks the
+strings that are left one by one.
 
 Sorted ranges are cut anywhere, also inside a group of equal pairs, so no task has to
 take a hot group; what crosses a cut is settled from the ends of the ranges.
@@ -34,6 +35,9 @@ from content_signals.plans.staging import discard
 THRESHOLD = 400
 #: Phrases that the first ranks cover; any string of the threshold's length holds as many.
 FIRST_DEPTH = 2
+#: Phrases beyond which nothing is ranked: so many lie in one string only where a text repeats itself
+#: at short intervals, and what is left there is settled by the bytes.
+LAST_DEPTH = 16
 #: Strings with neighbouring starts that are settled together before single ones are looked at.
 RUN = 16
 _GRAM = 8
@@ -164,7 +168,7 @@ def positions(texts: list[bytes], threshold: int, piece: int = _PIECE) -> Iterat
         # the last string that starts here, or in front of here, and how far its phrases go
         latest = np.minimum(f, end[owned] - threshold)
         reach = np.searchsorted(first, latest + threshold - width - gram + 1, "right") - 1
-        depth = np.maximum(reach - owned, 0)
+        depth = np.clip(reach - owned, 0, 2 * LAST_DEPTH - 1)
         strings = np.where(some, np.minimum(last[owned], end[owned] - threshold) - f + 1, 0)
         upto = f + np.where(some, strings - 1 + threshold, 0)
         yield (
@@ -322,67 +326,77 @@ def doubled(named: DataFrame) -> DataFrame:
 
 
 def _hashed(threshold: int):
-    """Each of the listed runs of strings by two hashes of its bytes; a run is named by its first string."""
+    """Each of the listed runs of strings by two hashes of its bytes and two of what its strings share.
+
+    A run is named by its first string. What strings share begins at ``core``, has the
+    length that a whole run's do, and is given as the run itself for single strings.
+    """
+    names = ["a", "b", "row", "i", "n", "group", "settled", "h1", "h2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in slices(batches, "packed", _SLICE_BYTES // 4):
-            columns = (batch.column(c).to_pylist() for c in ("row", "packed", "listed"))
-            for row, packed, listed in zip(*columns):
-                text = unpack(packed)
-                spans = sorted((s["start"], s["start"] + s["n"] - 1 + threshold, s["origin"], s["k"], s["settled"]) for s in listed)
-                while spans:
-                    low = spans[0][0]
-                    n = next((j for j, s in enumerate(spans) if j and s[1] - low > _PIECE), len(spans))
-                    now, spans = spans[:n], spans[n:]
-                    start, end, origin, k, settled = (np.array(c) for c in zip(*now))
-                    of = Hashes(np.frombuffer(text[low : int(end.max())], np.uint8))
-                    hashes = (of.of(start - low, end - low, j).view(np.int64) for j in (0, 1))
-                    arrays = [*hashes, np.full(n, row, np.int64), start, end - start - threshold + 1, origin, k]
-                    arrays = [pa.array(c.astype(np.int64)) for c in arrays] + [pa.array(settled.astype(bool))]
-                    names = ["a", "b", "row", "i", "n", "origin", "k", "settled"]
-                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+            for row, packed, listed in zip(*(batch.column(c) for c in ("row", "packed", "listed"))):
+                text, items = unpack(packed.as_py()), listed.values
+                columns = [np.asarray(items.field(c), np.int64) for c in ("start", "n", "group", "core", "length")]
+                settled = items.field("settled").to_numpy(zero_copy_only=False).astype(bool)
+                order = np.argsort(columns[0], kind="stable")
+                start, n, group, core, length = (c[order] for c in columns)
+                settled, end = settled[order], start + n - 1 + threshold
+                at = 0
+                while at < len(start):
+                    low = int(start[at])
+                    upto = max(at + 1, int(np.searchsorted(np.maximum.accumulate(end), low + _PIECE, "right")))
+                    own = slice(at, upto)
+                    of = Hashes(np.frombuffer(text[low : int(end[own].max())], np.uint8))
+                    a, b = (of.of(core[own] - low, core[own] + length[own] - low, j).view(np.int64) for j in (0, 1))
+                    h1, h2 = (of.of(start[own] - low, end[own] - low, j).view(np.int64) for j in (0, 1))
+                    arrays = [a, b, np.full(upto - at, row.as_py()), start[own], n[own], group[own], settled[own], h1, h2]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], names=names)
+                    at = upto
 
     return run
 
 
-def _runs() -> Column:
-    """The strings of a position in runs: those whose start lies ``RUN`` places or less before the
-    position, the next ``RUN`` ones and so on, so that equal strings are in runs of one number."""
+_ONE = "struct<start:bigint,n:bigint,group:bigint,settled:boolean,core:bigint,length:bigint>"
+
+
+def _runs(threshold: int) -> Column:
+    """The strings of a position in runs: those whose start lies less than ``RUN`` places before the
+    position, the next ``RUN`` ones and so on, so that equal strings are in runs that share the same."""
     first, back = F.col("first"), F.floor(F.col("shape") / _FIELD) % _FIELD
     place, last = first + back, first + _strings_of() - 1
-    numbers = F.sequence(F.floor((place - last) / RUN), F.floor(back / RUN))
+    run = min(RUN, threshold)
+    numbers = F.sequence(F.floor((place - last) / run), F.floor(back / run))
 
-    def run(k: Column) -> Column:
-        start = F.greatest(first, place - k * RUN - RUN + 1)
-        end = F.least(last, place - k * RUN)
-        return F.struct(start.alias("start"), (end - start + 1).alias("n"), "origin", k.alias("k"), "settled")
+    def one(k: Column) -> Column:
+        start = F.greatest(first, place - k * run - run + 1)
+        end = F.least(last, place - k * run)
+        shared = (place - k * run, F.lit(threshold - run + 1))
+        return F.struct(start, end - start + 1, F.lit(0), "settled", *shared).cast(_ONE)
 
-    return F.explode(F.transform(numbers, run))
+    return F.explode(F.transform(numbers, one))
 
 
-def _singles() -> Column:
+def _singles(threshold: int) -> Column:
     """The strings of a run, each by itself."""
     starts = F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)
-    one = F.lit(1).cast("long")
-    return F.explode(F.transform(starts, lambda x: F.struct(x.alias("start"), one.alias("n"), "origin", "k", "settled")))
+    one = lambda x: F.struct(x, F.lit(1), "rank", "settled", x, F.lit(threshold)).cast(_ONE)
+    return F.explode(F.transform(starts, one))
 
 
 def _compared(texts: DataFrame, listed: DataFrame, threshold: int, name: str) -> DataFrame:
-    """The listed runs ``(row, one)`` ranked by their bytes."""
+    """The listed runs ``(row, one)``, staged, with hashes of their bytes."""
     by_row = listed.groupBy("row").agg(F.collect_list("one").alias("listed"))
-    schema = "a long, b long, row long, i long, n long, origin long, k long, settled boolean"
-    hashed = stage(texts.join(by_row, "row").mapInArrow(_hashed(threshold), schema), name)
-    ranked = rank_pairs(hashed, keep_alone=True)
-    discard(hashed)
-    return ranked
+    schema = "a long, b long, row long, i long, n long, group long, settled boolean, h1 long, h2 long"
+    return stage(texts.join(by_row, "row").mapInArrow(_hashed(threshold), schema), name)
 
 
-def _unsettled(ranked: DataFrame, group: list[str]) -> DataFrame:
+def _unsettled(ranked: DataFrame, group: str) -> DataFrame:
     """What stands once and is not settled, and of its group one of each other kind, which it may overlap with."""
-    open_ = ranked.filter("not repeated and not settled").select(*group).distinct()
+    open_ = ranked.filter("not repeated and not settled").select(group).distinct()
     leading = ranked.filter("leads").withColumn("settled", F.col("settled") | F.col("repeated"))
-    return lookup_join(leading, open_, group, "left_semi", spread=F.col("row"))
+    return lookup_join(leading, open_, [group], "left_semi", spread=F.col("row"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,10 +447,16 @@ def drop_repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFram
     )
     whole = rank_pairs(together, keep_alone=True).withColumn("settled", F.lit(False))
     discard(named)
-    runs = _unsettled(whole, ["origin"]).select("row", _runs().alias("one"))
+    runs = _unsettled(whole, "origin").select("row", _runs(threshold).alias("one"))
     runs = _compared(texts, runs, threshold, "runs-of-strings")
-    singles = _unsettled(runs, ["origin", "k"]).select("row", _singles().alias("one"))
-    singles = _compared(texts, singles, threshold, "strings")
+    shared = rank_pairs(runs).filter("repeated")
+    runs = rank_pairs(
+        shared.select(F.col("h1").alias("a"), F.col("h2").alias("b"), "row", "i", "n", "settled", F.col("rank").alias("group")),
+        keep_alone=True,
+    )
+    singles = _unsettled(runs, "group").drop("rank").withColumnRenamed("group", "rank")
+    singles = _compared(texts, singles.select("row", _singles(threshold).alias("one")), threshold, "strings")
+    singles = rank_pairs(singles)
     cuts = whole.filter("repeated").select(
         "row", F.col("first").alias("start"), (F.col("first") + _strings_of() - 1 + threshold).alias("end")
     )
