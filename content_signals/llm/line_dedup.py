@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from content_signals.llm.common import stage, text_key
+from content_signals.plans.skew import lookup_join
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -40,8 +41,8 @@ def drop_common_lines(
     Lines travel as (document, position, digest), written once to the shared folder
     so that texts are cut and hashed once. Documents are counted in two
     steps, first per (digest, document), so that a line found everywhere is
-    summed before its rows meet; the lookup of common lines may be split by
-    adaptive execution, as nothing above it needs its partitioning.
+    summed before its rows meet. The common lines are sent to all tasks where they have been
+    measured to be few; beyond that, lines found everywhere are looked up in parts.
     """
     given = docs.select(F.struct("*").alias("row")).select(
         "row",
@@ -65,8 +66,9 @@ def drop_common_lines(
         .filter(F.col("documents") >= min_documents)
         .select("digest", "keeper")
     )
+    common = stage(common, "common-lines")
     dropped = (
-        hashed.join(common, "digest")
+        lookup_join(hashed, common, ["digest"], "inner", spread=F.col("doc"))
         .filter(F.col("doc") != F.col("keeper"))
         .groupBy("doc", "key")
         .agg(F.collect_set("pos").alias("dropped"))

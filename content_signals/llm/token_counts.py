@@ -9,7 +9,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from content_signals.llm.common import as_bytes, slices
+from content_signals.llm.common import as_bytes, slices, stage
+from content_signals.plans.skew import lookup_join
 
 CACHE_SCHEMA = "version string, digest binary, n_tokens long"
 _SLICE_BYTES = 1 << 20
@@ -104,4 +105,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str) -> DataFrame:
         .agg(F.max("n_tokens").alias("n_tokens"))
     )
     narrow = rows.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return narrow.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
+    # thousands of copies share a digest: the counts go to them where they are few, and else in parts
+    counted = lookup_join(narrow, stage(counts, "token-counts"), ["digest"], "inner", spread=F.col("doc_id"))
+    return counted.select("doc_id", "n_bytes", "n_tokens")
