@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from content_signals.llm.common import as_bytes, bounded_sample, slices
+from content_signals.llm.common import as_bytes, bounded_sample, slices, text_key
 from content_signals.llm.hashing import Words, chunks
 
 #: Bounds of the rows that the fit reads: trusted positives and unlabelled texts.
@@ -24,6 +24,7 @@ MAX_UNLABELLED = 8_000
 THRESHOLD = 0.7
 _SLICE_BYTES = 4 << 20
 _HIDDEN = 16
+_LEAST = 8
 _STEPS, _BATCH, _RATE, _DECAY = 1500, 1024, 3e-3, 1e-4
 
 #: Bytes that count as one class; every other byte is of class 0 (control) or the last (not ASCII).
@@ -172,7 +173,7 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, delta: float = 0.1) -> float:
 
 def fit(positives: np.ndarray, unlabelled: np.ndarray, seed: int = 7) -> Model:
     """Estimate the prior on a quarter of the rows by a first network, then fit on all."""
-    if len(positives) < 8 or len(unlabelled) < 8:
+    if min(len(positives), len(unlabelled)) < _LEAST:
         raise ValueError("too few trusted positives or unlabelled texts to learn from")
     p_cut, u_cut = len(positives) // 4, len(unlabelled) // 4
     first = _train(positives[p_cut:], unlabelled[u_cut:], 0.5, seed)
@@ -180,38 +181,61 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, seed: int = 7) -> Model:
     return _train(positives, unlabelled, prior, seed + 1)
 
 
+def undecided() -> Model:
+    """A model that knows nothing and scores every text 1: without evidence none is rejected."""
+    zero = np.zeros(WIDTH, np.float32)
+    flat = np.zeros((WIDTH, _HIDDEN), np.float32)
+    layers = [flat, np.zeros(_HIDDEN, np.float32), np.zeros(_HIDDEN, np.float32), np.full(1, 30, np.float32)]
+    return Model(zero, zero, layers, 1.0)
+
+
 def _extracted(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE_BYTES):
             x = features(as_bytes(batch.column("text")))
             packed = pa.array([r.tobytes() for r in x], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), packed], names=["doc_id", "x"])
+            arrays = [batch.column("doc_id"), batch.column("key"), packed]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "x"])
+
+    keyed = rows.select("doc_id", text_key(F.col("text")).alias("key"), "text")
+    return keyed.mapInArrow(run, "doc_id long, key long, x binary")
 
-    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, x binary")
 
+def _fetch(docs: DataFrame, ids: DataFrame) -> np.ndarray:
+    """Statistics of the chosen documents in the order of their ids, one row of each.
 
-def _fetch(docs: DataFrame, ids: DataFrame, bound: int) -> np.ndarray:
-    """Statistics of the chosen documents in the order of their ids; ``ids`` has at most ``bound`` rows."""
+    Of rows that share an id the one with the smallest text key counts; it is picked by a
+    sum that Spark begins before it shuffles. What comes to the driver is a row per id.
+    """
     chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi")
-    got = sorted((r[0], r[1]) for r in _extracted(chosen).limit(2 * bound).collect())
+    one = _extracted(chosen).groupBy("doc_id").agg(F.min(F.struct("key", "x")).alias("least"))
+    got = sorted((r[0], r[1]) for r in one.select("doc_id", "least.x").collect())
     order = np.random.default_rng(3).permutation(len(got))
     rows = [np.frombuffer(got[i][1], np.float32) for i in order]
     return np.stack(rows) if rows else np.empty((0, WIDTH), np.float32)
 
 
 def fit_on(
-    docs: DataFrame, positives: DataFrame, max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED
+    docs: DataFrame,
+    positives: DataFrame,
+    max_positives: int = MAX_POSITIVES,
+    max_unlabelled: int = MAX_UNLABELLED,
+    if_too_few: Model | None = None,
 ) -> Model:
     """Fit on at most ``max_positives`` documents named in ``positives`` and ``max_unlabelled`` others.
 
     ``docs`` holds ``doc_id`` and ``text``, ``positives`` the ``doc_id`` of trusted good
-    texts. Both samples are fixed by a hash of the id. No negative label is read.
+    texts. Both samples are of distinct ids, fixed by a hash of the id. No negative label is
+    read. Rows without id are not read; null texts are empty ones. With too few documents to learn
+    from ``if_too_few`` is returned, if given, and else an error raised.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
     trusted = positives.select(F.col("doc_id").cast("long")).filter("doc_id is not null").distinct()
-    p = bounded_sample(trusted, "doc_id", max_positives, 1)
-    u = bounded_sample(rows.select("doc_id"), "doc_id", max_unlabelled, 2).distinct()
-    return fit(_fetch(rows, p, max_positives), _fetch(rows, u, max_unlabelled))
+    p = _fetch(rows, bounded_sample(trusted, "doc_id", max_positives, 1))
+    u = _fetch(rows, bounded_sample(rows.select("doc_id").distinct(), "doc_id", max_unlabelled, 2))
+    if if_too_few is not None and min(len(p), len(u)) < _LEAST:
+        return if_too_few
+    return fit(p, u)
 
 
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:
@@ -232,7 +256,11 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``.
+
+    Only ``text`` is looked at: a null text scores as an empty one, repeated rows are judged
+    alike, other columns and their names don't matter. Nothing is shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE_BYTES):

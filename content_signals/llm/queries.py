@@ -44,7 +44,8 @@ def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
     """Fitted on rows that are not held out: a quarter of the ids is."""
     learned = _remainder(F.col("doc_id"), 4) != 2
     trusted = table(spark, sf_dir, "labels").filter(learned & (F.col("quality") == 1))
-    return quality.fit_on(table(spark, sf_dir, "documents").filter(learned), trusted)
+    docs = table(spark, sf_dir, "documents").filter(learned)
+    return quality.fit_on(docs, trusted, if_too_few=quality.undecided())
 
 
 @query
@@ -79,7 +80,7 @@ def op3_token_counts(spark, sf_dir):
 def op4_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     learned = table(spark, sf_dir, "labels").filter(_remainder(F.col("doc_id"), 5) != 0)
-    scored = toxicity.score_toxicity(docs, toxicity.fit_on(docs, learned))
+    scored = toxicity.score_toxicity(docs, toxicity.fit_on(docs, learned, if_too_few=toxicity.Model({})))
     return scored.select(
         "doc_id",
         F.coalesce(_remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
@@ -245,6 +246,29 @@ SQL: dict[str, str] = {
         SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
             doc_id, score
         FROM s WHERE score > 0 QUALIFY rank <= 50""",
+    "op12_suffix_array_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t FROM documents),
+        starts AS (SELECT r, unnest(range(0, octet_length(t) - 399)) AS pos, t FROM d WHERE octet_length(t) >= 400),
+        h AS (SELECT r, pos, md5(t[pos + 1:pos + 400]) AS h FROM starts),
+        again AS (SELECT h FROM h GROUP BY h HAVING count(*) > 1),
+        edge AS (
+            SELECT r, pos, lag(pos) OVER (PARTITION BY r ORDER BY pos) AS before FROM h SEMI JOIN again USING (h)),
+        first AS (SELECT r, pos FROM edge WHERE before IS NULL OR pos > before + 400),
+        last AS (
+            SELECT r, pos, lead(pos) OVER (PARTITION BY r ORDER BY pos) AS after FROM h SEMI JOIN again USING (h)),
+        ends AS (SELECT r, pos + 400 AS pos FROM last WHERE after IS NULL OR after > pos + 400),
+        cut AS (
+            SELECT r, row_number() OVER (PARTITION BY r ORDER BY pos) AS n, pos FROM first),
+        stop AS (
+            SELECT r, row_number() OVER (PARTITION BY r ORDER BY pos) AS n, pos FROM ends
+            UNION ALL SELECT r, 0, 0 FROM d),
+        kept AS (SELECT stop.r, stop.n, stop.pos AS a, cut.pos AS b FROM stop LEFT JOIN cut ON cut.r = stop.r AND cut.n = stop.n + 1),
+        left_over AS (
+            SELECT r, max(n) AS n_spans, string_agg(hex(t[a + 1:coalesce(b, octet_length(t))]), '' ORDER BY n) AS x
+            FROM kept JOIN d USING (r) GROUP BY r)
+        SELECT doc_id, octet_length(t)::BIGINT AS n_bytes, (octet_length(t) - length(x) // 2)::BIGINT AS n_removed,
+            n_spans::BIGINT AS n_spans, sha256(unhex(x)) AS kept_sha256
+        FROM d JOIN left_over USING (r)""",
     "op13_fill_in_middle": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from content_signals.llm.common import as_bytes, bounded_sample, slices
+from content_signals.llm.common import as_bytes, bounded_sample, slices, text_key
 
 #: Bounds of the rows that the fit reads, and of their texts' bytes in all.
 MAX_TOXIC = 3_000
@@ -140,14 +140,32 @@ def fit(texts: list[str], toxic: list[bool], toxic_share: float | None = None) -
     return Model({e: float(w[i]) for e, i in place.items() if w[i] > 1e-3})
 
 
+def _within(rows: list, share: int) -> list:
+    """The rows in their order as long as their texts fit into so many bytes; one that doesn't is passed over."""
+    out, size = [], 0
+    for row in rows:
+        if size + row.bytes <= share:
+            out.append(row)
+            size += row.bytes
+    return out
+
+
 def fit_on(
-    docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN
+    docs: DataFrame,
+    labels: DataFrame,
+    max_toxic: int = MAX_TOXIC,
+    max_clean: int = MAX_CLEAN,
+    max_bytes: int = MAX_BYTES,
+    if_too_few: Model | None = None,
 ) -> Model:
-    """Fit on at most so many toxic and clean documents, and ``MAX_BYTES`` of text.
+    """Fit on at most so many toxic and clean documents, and ``max_bytes`` of text, half of it for each.
 
     ``labels`` holds ``doc_id`` and ``toxic``; rows with nulls are not read, a document
-    with several labels counts as toxic if one says so. The sample is fixed by a hash of
-    the id; texts of the chosen documents alone are fetched.
+    with several labels counts as toxic if one says so. The sample is fixed by a hash of the
+    id: sizes are looked up first, documents are taken in that order while they fit into
+    their class's bytes, and the texts of those alone are fetched. Of rows that share an id the one
+    with the smallest text key counts; null texts are empty. Without a document of each class
+    ``if_too_few`` is returned, if given, and else an error raised.
     """
     known = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
@@ -159,16 +177,24 @@ def fit_on(
     ids = bounded_sample(known.filter("toxic > 0"), "doc_id", max_toxic, 1).union(
         bounded_sample(known.filter("toxic <= 0"), "doc_id", max_clean, 1)
     )
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    chosen = rows.join(F.broadcast(ids), "doc_id").limit(2 * (max_toxic + max_clean))
-    texts, toxic, size = [], [], 0
-    for row in chosen.select("text", "toxic").toLocalIterator():
-        size += len(row[0])
-        if texts and size > MAX_BYTES:
-            break
-        texts.append(row[0])
-        toxic.append(row[1] > 0)
-    return fit(texts, toxic, share)
+    rows = docs.select(
+        F.col("doc_id").cast("long"), text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    sizes = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic")
+    first = F.min(F.struct("key", F.octet_length("text").alias("bytes"))).alias("least")
+    order = [F.xxhash64(F.lit(1), "doc_id"), F.col("doc_id")]
+    found = sizes.agg(first).select("doc_id", "toxic", "least.*").orderBy(*order).collect()  # a row per chosen id
+    label = {
+        (r.doc_id, r.key): r.toxic > 0
+        for toxic in (True, False)
+        for r in _within([r for r in found if (r.toxic > 0) == toxic], max_bytes // 2)
+    }
+    if if_too_few is not None and len(set(label.values())) < 2:
+        return if_too_few
+    names = docs.sparkSession.createDataFrame([*label], "doc_id long, key long")
+    chosen = rows.join(F.broadcast(names), ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
+    texts = sorted((r.doc_id, r.text, label[r.doc_id, r.key]) for r in chosen.toLocalIterator())
+    return fit([t for _, t, _ in texts], [y for _, _, y in texts], share)
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
