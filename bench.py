@@ -1,8 +1,10 @@
 """Time the headline queries and print one JSON line.
 
-BENCH_SF_DIR names the tables, BENCH_CPUS the cores. Every query runs once to
-warm up and then three times; the median counts. The result is written to
-Spark's no-op sink, so that all rows and columns are computed.
+BENCH_SF_DIR names the tables, BENCH_CPUS the cores. The tables are written anew in as
+many files as there are cores, before any clock runs: each of them is one row group, which
+one task would read. Every query runs once to warm up and then three times; the median
+counts. The result is written to Spark's no-op sink, so that all rows and columns are
+computed.
 """
 
 from __future__ import annotations
@@ -10,7 +12,9 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
+from pathlib import Path
 
 from content_signals.catalog import QUERIES
 from content_signals.session import local_session
@@ -35,6 +39,14 @@ HEADLINE = [
 RUNS = 3
 
 
+def in_files(spark, sf_dir: str, files: int) -> str:
+    """The tables in a new folder, each in so many files."""
+    folder = tempfile.mkdtemp(prefix="bench-")
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        spark.read.parquet(str(path)).repartition(files).write.parquet(f"{folder}/{path.name}")
+    return folder
+
+
 def seconds(spark, name: str, sf_dir: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -46,10 +58,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus)
     spark.sparkContext.setLogLevel("ERROR")
+    name, sf_dir = os.path.basename(sf_dir.rstrip("/")), in_files(spark, sf_dir, int(cpus))
     timings = {}
-    for name in HEADLINE:
-        seconds(spark, name, sf_dir)
-        timings[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(RUNS)), 3)
+    for query in HEADLINE:
+        seconds(spark, query, sf_dir)
+        timings[query] = round(statistics.median(seconds(spark, query, sf_dir) for _ in range(RUNS)), 3)
     version, heap = spark.version, spark.conf.get("spark.driver.memory")
     spark.stop()
     print(
@@ -59,7 +72,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": name.removeprefix("sf"),
                 "cpus": int(cpus),
                 "heap": heap,
                 "spark": version,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timezone
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +22,7 @@ from content_signals.operators import checks, classify as c, dedup as d, links a
 from content_signals.operators import normalize as n, payload as g, prompts as p, ranking as o
 from content_signals.operators import requests as r, sinks as w, trends as tr, videos as v
 from content_signals.plans import link_collection, ready_prompts, trend_report, video_collection
+from content_signals.plans.order import add_position
 from content_signals.plans.staging import new_path, stage
 from content_signals.sources import csv_files, landed_json, query_specs, templates
 from content_signals.streaming import link_drops
@@ -131,6 +133,50 @@ def video_items_from_json(spark, sf_dir):
     )
 
 
+def _landed_mixed(spark, sf_dir) -> DataFrame:
+    """Events as landed pages of all kinds in one folder: hits of queries and channels, entries of
+    playlists, and details; their items hold the id in three places."""
+    details = t.video_details(spark, sf_dir).withColumn("kind", F.pmod(ORD, F.lit(4)))
+    snippet = [F.col("snippet.title"), F.col("snippet.publishedAt")]
+    channel = F.col("snippet.channelTitle")
+    video_id = F.nullif(F.col("id"), F.lit(""))
+    hit = F.struct(F.struct(video_id.alias("videoId")).alias("id"), F.struct(*snippet, channel).alias("snippet"))
+    entry = F.struct(*snippet, channel.alias("videoOwnerChannelTitle"), F.struct(video_id.alias("videoId")).alias("resourceId"))
+    detail = F.struct(video_id.alias("id"), F.struct(*snippet, channel).alias("snippet"))
+    item = (
+        F.when(F.col("kind") < 2, F.to_json(hit))
+        .when(F.col("kind") == 2, F.to_json(F.struct(entry.alias("snippet"))))
+        .otherwise(F.to_json(detail))
+    )
+    named = F.element_at(F.array(*map(F.lit, ["query", "channel", "playlist", "about"])), (F.col("kind") + 1).cast("int"))
+    paged = (
+        details.groupBy("query", "kind", F.floor(F.col(ORD) / 200).alias("page"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col(ORD).alias("place"), item.alias("item")))).alias("m"))
+        .withColumn("items", F.array_join(F.transform("m", lambda x: x["item"]), ","))
+    )
+    line = F.format_string('{"%s": "%s", "page": %d, "items": [%s]}', named, "query", "page", "items")
+    path = new_path(spark, "mixed-json")
+    paged.select(line.alias("value")).union(spark.range(1).select(F.lit("no JSON"))).write.text(path)
+    pages = landed_json.read_mixed_pages(spark, path)
+    number = F.try_variant_get("page_json", "$.page", "int").alias("page")
+    kind = F.coalesce(*[F.try_variant_get("page_json", f"$.{k}", "string") for k in ("query", "channel", "playlist", "about")])
+    return pages.withColumn(ORD, F.struct(kind.alias("source"), number))
+
+
+@query
+def mixed_video_items(spark, sf_dir):
+    """Search, channel, playlist and detail pages out of one folder."""
+    items = landed_json.mixed_video_items(_landed_mixed(spark, sf_dir))
+    return items.select("kind", "source", "source_url", "title", "published_at", "channel", "id")
+
+
+@query
+def run_landed_collection(spark, sf_dir):
+    """Landed pages of all kinds to strict source rows, ten records of each source, each video once."""
+    records = link_collection.landed_records(_landed_mixed(spark, sf_dir), max_results=10)
+    return link_collection.links_to_master(records, carry=["title"])
+
+
 @query
 def ingest_link_drops(spark, sf_dir):
     """Page URLs and junk lines as dropped text files, taken in by a stream."""
@@ -660,8 +706,12 @@ def pending_fetches(spark, sf_dir):
 
 @query
 def rank_for_review(spark, sf_dir):
+    """With the place of each row, numbered from the order in which the rows come out."""
     ranked = o.rank_for_review(ready_prompts.score_sources(t.sources(spark, sf_dir)))
-    return _docs(ranked, "blended_priority_score", "priority_score")
+    ranked = ranked.select(F.col(ORD).alias("doc_id"), "blended_priority_score", "priority_score")
+    placed = ranked.withColumn(ORD, F.monotonically_increasing_id()).withColumn("all", F.lit(0))
+    placed = add_position(stage(placed, "ranked"), ["all"], "rank")
+    return placed.select("doc_id", "blended_priority_score", "priority_score", F.col("rank").cast("bigint"))
 
 
 @query
@@ -728,6 +778,18 @@ def write_telemetry(spark, sf_dir):
     return spark.read.schema(stats.schema).json(detail).withColumn("rows", rows.scalar())
 
 
+@query
+def run_account(spark, sf_dir):
+    """A collection's account with fixed times, written and read back."""
+    ran, path = _collection(spark, sf_dir), new_path(spark, "account")
+    begun, ended = (t.AS_OF.replace(tzinfo=timezone.utc, minute=m) for m in (0, 30))
+    w.write_telemetry(ran.stats, ran.summary, path, begun, ended)
+    schema = "started_at string, finished_at string, query_count bigint, totals map<string, bigint>"
+    account = spark.read.schema(schema).json(f"{path}/run_json")
+    named = F.explode("totals").alias("metric", "value")
+    return account.select("started_at", "finished_at", "query_count", named)
+
+
 @query
 def export_prompt_text(spark, sf_dir):
     path = w.export_prompt_text(
@@ -754,6 +816,14 @@ def ready_and_prompts(spark, sf_dir):
     )[1]
 
 
+@query
+def ready_table(spark, sf_dir):
+    """The review table of the same job, read back from the CSV that it writes."""
+    ready, prompts = new_path(spark, "ready"), new_path(spark, "prompts")
+    ready_prompts.run_and_write(t.sources(spark, sf_dir), t.sample_templates(spark), ready, prompts, strict=True)
+    return csv_files.read_csv_text(spark, ready).select(*READY_COLUMNS)
+
+
 @query
 def run_trend_scoring(spark, sf_dir):
     return _docs(
@@ -807,7 +877,8 @@ def run_link_collection(spark, sf_dir):
 
 @query
 def trend_validation(spark, sf_dir):
-    prompts = _prepared(spark, sf_dir)
+    """Shared links against the prompts as they are stored."""
+    prompts = stage(o.prompts_projection(_prepared(spark, sf_dir), carry=[ORD]), "stored-prompts")
     key = F.col(ORD)
     shared = t.sources(spark, sf_dir).select(
         ORD,

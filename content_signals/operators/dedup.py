@@ -15,7 +15,7 @@ from content_signals.constants import (
 )
 from content_signals.functions.text import trim_ws
 from content_signals.functions.urls import canonical_watch_url
-from content_signals.plans.order import add_position
+from content_signals.plans.order import add_position, first_rows
 from content_signals.plans.skew import lookup_join
 
 # Up to this many rows per group Spark limits each group before it shuffles.
@@ -110,18 +110,22 @@ def top_n_per_query(
     """At most ``max_results`` rows with an id of each query, in arrival order.
 
     Rows whose ``id`` is blank don't count towards the limit and go, as do rows of a
-    query without a spec; two specs of one query are an error. ``max_pages`` bounds the pages that are looked at, blank
-    ids included; a column ``max_pages`` of the specs takes its place where it is not
-    null. Pages are those of the column ``page``, which counts up by one from a
-    query's first page, or else ``page_size`` rows each.
+    query without a spec; two specs of one query are an error. Rows that lie beyond the
+    limit by the counts of those before them are left before they are shuffled.
+    ``max_pages`` bounds the pages that are looked at, blank ids included; a column
+    ``max_pages`` of the specs takes its place where it is not null. Pages are those of
+    the column ``page``, which counts up by one from a query's first page, or else
+    ``page_size`` rows each.
     """
     specs = one_spec_per_query(specs)
     pages = F.lit(max_pages).cast("bigint")
     if "max_pages" in specs.columns:
         pages = F.coalesce(F.col("max_pages").cast("bigint"), pages)
     limits = specs.select("query", F.col("max_results").alias("_limit"), pages.alias("_pages"))
-    rows = lookup_join(df, limits, ["query"], "inner")
+    rows = df
     bounded = max_pages is not None or "max_pages" in specs.columns
+    if bounded:
+        rows = lookup_join(rows, limits.select("query", "_pages"), ["query"], "inner")
     if bounded and "page" in df.columns:
         first = df.groupBy("query").agg(F.min("page").alias("_first"))
         rows = lookup_join(rows, first, ["query"], "inner").filter(
@@ -135,8 +139,7 @@ def top_n_per_query(
         rows = rows.drop("_row")
     if "id" in df.columns:
         rows = rows.filter(F.coalesce("id", F.lit("")) != "")
-    placed = add_position(rows, ["query"], "_place")
-    return placed.filter(F.col("_place") <= F.col("_limit")).drop("_place", "_limit", "_pages")
+    return first_rows(rows.select(*df.columns), ["query"], limits, "_limit")
 
 
 def _numbered(

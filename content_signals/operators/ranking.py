@@ -34,6 +34,9 @@ def ready_projection(df: DataFrame) -> DataFrame:
     return _project(df, READY_COLUMNS)
 
 
-def prompts_projection(df: DataFrame) -> DataFrame:
-    """The review columns, prompt and payload in fixed order; absent ones are skipped."""
-    return _project(df, PROMPTS_COLUMNS)
+def prompts_projection(df: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """The review columns, prompt and payload in fixed order; absent ones are skipped.
+
+    ``carry`` names further columns to keep, such as the order.
+    """
+    return _project(df, [*PROMPTS_COLUMNS, *(carry or [])])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -50,11 +52,34 @@ def write_master(df: DataFrame, path: str) -> str:
     return write_csv(df.select(*MASTER_COLUMNS), path)
 
 
-def write_telemetry(stats: DataFrame, summary: DataFrame, path: str) -> tuple[str, str]:
-    """Per-query statistics as JSON lines and the summary as CSV below ``path``."""
+def run_account(stats: DataFrame, summary: DataFrame, started_at: datetime, finished_at: datetime) -> DataFrame:
+    """One row: a run's start and finish in UTC, its number of queries, and its totals by name."""
+    totals = summary.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value")))).alias("totals"))
+    started, finished = (t.astimezone(timezone.utc).isoformat() for t in (started_at, finished_at))
+    return totals.select(
+        F.lit(started).alias("started_at"),
+        F.lit(finished).alias("finished_at"),
+        stats.agg(F.count("*").alias("n")).scalar().alias("query_count"),
+        "totals",
+    )
+
+
+def write_telemetry(
+    stats: DataFrame,
+    summary: DataFrame,
+    path: str,
+    started_at: datetime | None = None,
+    finished_at: datetime | None = None,
+) -> tuple[str, str]:
+    """Per-query statistics as JSON lines and the summary as CSV below ``path``.
+
+    With the times of a run its account is written beside them, to ``run_json``.
+    """
     detail, short = f"{path}/queries_json", f"{path}/summary_csv"
     stats.write.mode("overwrite").json(detail)
     write_csv(summary, short)
+    if started_at and finished_at:
+        run_account(stats, summary, started_at, finished_at).write.mode("overwrite").json(f"{path}/run_json")
     return detail, short
 
 

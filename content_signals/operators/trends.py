@@ -1,8 +1,9 @@
 """Corpus-level trend scores: recency, keyword frequency, recurring themes.
 
-The corpus is read once to count keywords and themes together; the counts are
-staged as a table (one row per distinct keyword) and the rows are then scored
-against it. No window runs over the whole corpus and no count reaches the driver.
+The text is cut once: a narrow table holds each row's order, words and theme, the words
+as Parquet's dictionary codes. Keywords and themes are counted from it, exactly, and rows are
+scored against the counts; the scores go back to the rows by their order. No window runs
+over the whole corpus and no count reaches the driver.
 
 Words are exploded with the outer variant throughout: for the inner one Catalyst
 adds a filter on the array's size, which would cut the text into words twice.
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
@@ -26,7 +28,7 @@ from content_signals.functions.keywords import (
 )
 from content_signals.functions.text import trim_ws
 from content_signals.functions.times import utc
-from content_signals.plans.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measured, salted_join
+from content_signals.plans.skew import fits_broadcast, lookup_join, salted_join
 from content_signals.plans.staging import stage
 
 NEUTRAL = 0.5
@@ -91,41 +93,31 @@ def _theme(lower_text: Column, df: DataFrame) -> Column:
     return F.coalesce(first_keyword(lower_text), fallback)
 
 
-def signal_counts(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
-    """``(is_theme, key, n)``: occurrences of each keyword, and rows of each theme.
+def signals(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
+    """``(_ord, _words, _theme)`` of every row, staged: all that is ever read of the text.
 
-    Both come out of one pass, summed before the shuffle: a row's theme joins its
-    words with a mark that no keyword can hold. Text and theme are columns of
-    their own, so that the explode does not work them out repeatedly.
+    ``_words`` are the letter and digit runs in order, keywords or not.
     """
-    mark = "="
     texts = df.withColumn("_text", keyword_text(df, nan_as_token))
-    themed = texts.select("_text", F.concat(F.lit(mark), _theme(F.col("_text"), df)).alias("_theme"))
-    marked = themed.select(
-        F.explode_outer(F.concat(words(F.col("_text")), F.array("_theme"))).alias("key")
-    )
-    is_theme = F.col("key").startswith(mark)
-    counted = marked.filter(is_theme | is_keyword(F.col("key"))).groupBy("key").agg(
-        F.count("*").alias("n")
-    )
-    return counted.select(
-        is_theme.alias("is_theme"),
-        F.when(is_theme, F.right("key", F.length("key") - 1)).otherwise(F.col("key")).alias("key"),
-        "n",
-    )
+    cut = texts.select(ORD, words(F.col("_text")).alias("_words"), _theme(F.col("_text"), df).alias("_theme"))
+    return stage(cut, "signals")
 
 
-def _score_frequency(
-    df: DataFrame, counts: DataFrame, hot_keywords: int, nan_as_token: bool
-) -> DataFrame:
-    """Add ``frequency_score``; ``counts`` is the staged ``signal_counts``.
+def keyword_counts(cut: DataFrame) -> DataFrame:
+    """``(token, n)``, staged: occurrences of each keyword in the ``signals``."""
+    found = cut.select(F.explode_outer("_words").alias("token")).filter(is_keyword(F.col("token")))
+    return stage(found.groupBy("token").agg(F.count("*").alias("n")), "keyword-counts")
+
+
+def _frequency_scores(cut: DataFrame, hot_keywords: int) -> DataFrame:
+    """``(_ord, frequency_score)`` of the ``signals``.
 
     A row's dominant keyword is nearly always among the most frequent ones. They
     are few, so a row is matched against them in place, most frequent first, with
-    no shuffle. Rows that hold none of them are scored beforehand by a join on
-    keyword, in which therefore no key is hot; only their scores are joined back.
+    no shuffle. Rows that hold none of them are scored by a join on keyword; a
+    cold word, too, may have many rows, and is then salted.
     """
-    tokens = counts.filter("not is_theme").select(F.col("key").alias("token"), "n")
+    tokens = keyword_counts(cut)
     top = tokens.orderBy(F.desc("n"), "token").limit(hot_keywords)
     ranked = F.sort_array(F.collect_list(F.struct(F.col("n"), F.col("token"))), asc=False)
     hot = top.agg(
@@ -134,10 +126,9 @@ def _score_frequency(
             F.transform(ranked, lambda x: x["n"]).alias("n"),
         )
     ).scalar()
-    text = keyword_text(df, nan_as_token)
 
     def best(tokens: Column) -> Column:
-        return F.get(F.array_intersect(tokens, words(text)), F.lit(0))
+        return F.get(F.array_intersect(tokens, F.col("_words")), F.lit(0))
 
     # a match among the very first spares most rows the rest of the list
     leading = F.slice(hot["token"], 1, LEADING_KEYWORDS)
@@ -146,43 +137,33 @@ def _score_frequency(
     direct = F.get(hot["n"], (place - 1).cast("int")) / highest
     neutral = F.lit(NEUTRAL)
     if tokens.count() <= hot_keywords:
-        return df.withColumn("frequency_score", F.coalesce(direct, neutral))
+        return cut.select(ORD, F.coalesce(direct, neutral).alias("frequency_score"))
 
-    # Not a filter on cold rows, which would be worked out once more below the explode.
-    found = words(F.col("_text"))
-    unmatched = F.when(~F.arrays_overlap(found, hot["token"]), F.array_distinct(found))
-    exploded = df.select(ORD, text.alias("_text")).select(
-        ORD, F.explode_outer(unmatched).alias("token")
-    )
+    unmatched = F.when(~F.arrays_overlap("_words", hot["token"]), F.array_distinct("_words"))
+    exploded = cut.select(ORD, F.explode_outer(unmatched).alias("token"))
     cold = stage(exploded.filter(is_keyword(F.col("token"))), "cold-words")
-    n, size = measured(cold)
-    if n == 0:
-        return df.withColumn("frequency_score", F.coalesce(direct, neutral))
-
-    small = n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
-
-    def maybe_broadcast(side: DataFrame) -> DataFrame:
-        # the scores are no more rows than the words measured; beyond the bound the
-        # join shuffles by _ord, which is unique
-        return F.broadcast(side) if small else side
-
-    # beyond the bound a cold word, too, may have many rows: those are salted
+    if cold.isEmpty():
+        return cut.select(ORD, F.coalesce(direct, neutral).alias("frequency_score"))
+    # the scores are no more rows than the cold words, so that what was measured bounds both
+    small = fits_broadcast(cold)
     counted = tokens.join(F.broadcast(cold), "token") if small else salted_join(cold, tokens, ["token"], "inner")
     scores = counted.groupBy(ORD).agg((F.max("n") / highest).alias("_cold"))
-    return (
-        df.join(maybe_broadcast(scores), ORD, "left")
-        .withColumn("frequency_score", F.coalesce(F.col("_cold"), direct, neutral))
-        .drop("_cold")
-    )
+    joined = cut.join(F.broadcast(scores) if small else scores, ORD, "left")
+    return joined.select(ORD, F.coalesce("_cold", direct, neutral).alias("frequency_score"))
 
 
-def _score_themes(df: DataFrame, counts: DataFrame, nan_as_token: bool) -> DataFrame:
-    """Add ``multi_source_score``; ``counts`` is the staged ``signal_counts``."""
-    themes = counts.filter("is_theme").select(F.col("key").alias("_theme"), "n")
+def _theme_scores(cut: DataFrame) -> DataFrame:
+    """``(_ord, multi_source_score)`` of the ``signals``."""
+    themes = stage(cut.groupBy("_theme").agg(F.count("*").alias("n")), "theme-counts")
     highest = themes.agg(F.max("n").alias("n")).scalar()
     scores = themes.select("_theme", (F.col("n") / highest).alias("multi_source_score"))
-    themed = df.withColumn("_theme", _theme(keyword_text(df, nan_as_token), df))
-    return lookup_join(themed, scores, ["_theme"], "inner", counts=themes).drop("_theme")
+    return lookup_join(cut.select(ORD, "_theme"), scores, ["_theme"], "inner", counts=themes).drop("_theme")
+
+
+def _with_scores(df: DataFrame, *scores: DataFrame) -> DataFrame:
+    """The rows with their scores, joined by ``_ord``, which is unique."""
+    both = reduce(lambda a, b: a.join(b, ORD), scores)
+    return df.join(stage(both, "signal-scores"), ORD).select(*df.columns, *[c for c in both.columns if c != ORD])
 
 
 def frequency_score(
@@ -190,15 +171,13 @@ def frequency_score(
 ) -> DataFrame:
     """Add ``frequency_score``: count of the row's most frequent keyword over the
     highest count of any; 0.5 for a row without keywords."""
-    counts = stage(signal_counts(df, nan_as_token), "signal-counts")
-    return _score_frequency(df, counts, hot_keywords, nan_as_token)
+    return _with_scores(df, _frequency_scores(signals(df, nan_as_token), hot_keywords))
 
 
 def multi_source_score(df: DataFrame, nan_as_token: bool = False) -> DataFrame:
     """Add ``multi_source_score``: rows with the row's theme over rows with the top theme."""
-    theme = _theme(keyword_text(df, nan_as_token), df).alias("key")
-    themes = df.groupBy(theme).agg(F.count("*").alias("n")).withColumn("is_theme", F.lit(True))
-    return _score_themes(df, stage(themes, "theme-counts"), nan_as_token)
+    theme = _theme(keyword_text(df, nan_as_token), df)
+    return _with_scores(df, _theme_scores(stage(df.select(ORD, theme.alias("_theme")), "themes")))
 
 
 def weighted_score(df: DataFrame) -> DataFrame:
@@ -220,11 +199,9 @@ def trend_score(
     nan_as_token: bool = False,
 ) -> DataFrame:
     """Add the three sub-scores and ``trend_score``; needs ``_ord``."""
-    counts = stage(signal_counts(df, nan_as_token), "signal-counts")
+    cut = signals(df, nan_as_token)
     dated = recency_score(df, as_of)
-    # themes last: scoring frequency reads its input twice, and this way without their join
-    rated = _score_frequency(dated, counts, hot_keywords, nan_as_token)
-    return weighted_score(_score_themes(rated, counts, nan_as_token))
+    return weighted_score(_with_scores(dated, _frequency_scores(cut, hot_keywords), _theme_scores(cut)))
 
 
 def priority_level(df: DataFrame) -> DataFrame:

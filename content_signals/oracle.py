@@ -328,6 +328,26 @@ SQL["video_items_from_json"] = _with(
     """SELECT query, 'https://www.youtube.com/watch?v=' || id AS source_url, title, published_at,
   channel, id FROM vid WHERE id <> ''""",
 )
+_MIXED = f"""{_VIDEO}, mixed AS (
+  SELECT vid.*, CASE ord % 4 WHEN 0 THEN 'query' WHEN 1 THEN 'channel' WHEN 2 THEN 'playlist' END AS kind
+  FROM vid WHERE id <> ''
+)"""
+SQL["mixed_video_items"] = _with(
+    _MIXED,
+    """SELECT kind, CASE WHEN kind IS NOT NULL THEN query END AS source,
+  'https://www.youtube.com/watch?v=' || id AS source_url, title, published_at, channel, id FROM mixed""",
+)
+SQL["run_landed_collection"] = _with(
+    f"""{_MIXED}, early AS (
+  SELECT *, CASE kind WHEN 'query' THEN 0 WHEN 'channel' THEN 1 ELSE 2 END AS place
+  FROM mixed WHERE kind IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY kind, query ORDER BY ord // 200, ord) <= 10
+), unique_item AS (
+  SELECT * FROM early QUALIFY row_number() OVER (PARTITION BY id ORDER BY place, query, ord // 200, ord) = 1
+)""",
+    """SELECT 'https://www.youtube.com/watch?v=' || id AS source_url, '' AS niche, '' AS lang, '' AS rights,
+  '' AS usage_strategy, 'YOUTUBE' AS origin_platform, title FROM unique_item""",
+)
 SQL["ingest_link_drops"] = """
 SELECT url AS source_url, 'MOTIVATION' AS niche, false AS processed FROM pages"""
 
@@ -756,9 +776,13 @@ HAVING epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(ts)) > 7 * 86400 *
 _RANKED = "ORDER BY blended_priority_score DESC, priority_score DESC, ord"
 SQL["rank_for_review"] = _with(
     _READY,
-    f"SELECT ord AS doc_id, blended_priority_score, priority_score FROM ready {_RANKED}",
+    f"""SELECT ord AS doc_id, blended_priority_score, priority_score,
+  row_number() OVER ({_RANKED}) AS rank FROM ready""",
+)
+SQL["top_n_for_review"] = _with(
+    _READY,
+    f"SELECT ord AS doc_id, blended_priority_score, priority_score FROM ready {_RANKED} LIMIT 5",
 )
-SQL["top_n_for_review"] = SQL["rank_for_review"] + " LIMIT 5"
 SQL["check_columns"] = _with(
     _READY,
     """SELECT 'ready columns' AS "check", true AS ok, '' AS detail
@@ -897,3 +921,8 @@ SQL["trend_validation"] = _with(
   coalesce(final_prompt, '') AS improvement_prompt
 FROM keyed LEFT JOIN stored ON keyed.url = stored.url""",
 )
+SQL["run_account"] = f"""
+SELECT '{AS_OF:%Y-%m-%dT%H:%M:%S}+00:00' AS started_at, '{AS_OF:%Y-%m-%d}T00:30:00+00:00' AS finished_at,
+  (SELECT count(DISTINCT event_type) FROM events) AS query_count, metric, value
+FROM ({SQL["video_collection_summary"]})"""
+SQL["ready_table"] = SQL["write_csv"]

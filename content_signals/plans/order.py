@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from content_signals.constants import ORD
+from content_signals.plans.skew import lookup_join
 from content_signals.plans.staging import stage
 
 BUCKET_ROWS = 100_000
@@ -95,6 +96,27 @@ def add_position(
     return _numbered(keyed, _starts(sizes), name)
 
 
+def first_rows(
+    df: DataFrame, groups: list[str], limits: DataFrame, limit: str, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """The first so many rows of each group in input order.
+
+    ``limits`` holds each group's columns once and the number of rows in ``limit``; groups
+    that it lacks go. The sums of earlier rows tell which order buckets begin beyond their
+    group's limit. Rows of those never move: the buckets that are left are few where limits
+    are, and are then sent to the rows. Only what they let through is numbered.
+    """
+    keyed, sizes = _bucketed(df, groups, bucket_rows)
+    wanted = limits.select(F.struct(*groups).alias("_group"), F.col(limit).alias("_most"))
+    starts = lookup_join(_starts(sizes), wanted, ["_group"], "inner", spread=F.col("_bucket"))
+    starts = starts.filter(F.col("_start") < F.col("_most"))
+    starts = stage(starts, "first-buckets")
+    within = Window.partitionBy("_group", "_bucket").orderBy(ORD)
+    place = F.col("_start") + F.row_number().over(within)
+    kept = lookup_join(keyed, starts, ["_group", "_bucket"], "inner").withColumn("_place", place)
+    return kept.filter(F.col("_place") <= F.col("_most")).select(*df.columns)
+
+
 def add_rank_position(
     df: DataFrame, scores: list[str], name: str = "position", bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:

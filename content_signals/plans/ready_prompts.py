@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from content_signals.operators.classify import classify
@@ -12,12 +11,16 @@ from content_signals.operators.payload import generation_payload
 from content_signals.operators.prompts import build_prompts
 from content_signals.operators.ranking import prompts_projection, rank_for_review, ready_projection
 from content_signals.operators.sinks import write_csv
+from content_signals.plans.staging import discard, stage
 from content_signals.sources.csv_files import add_defaults
 
 
-def score_sources(sources: DataFrame) -> DataFrame:
-    """Deduplicate, normalize, classify and score; one shuffle, for the duplicates."""
-    return classify(normalize(dedup_sources(add_defaults(sources))))
+def score_sources(sources: DataFrame, strict: bool = False) -> DataFrame:
+    """Deduplicate, normalize, classify and score; one shuffle, for the duplicates.
+
+    ``strict`` raises where every URL is blank, at the price of a small job.
+    """
+    return classify(normalize(dedup_sources(add_defaults(sources)), strict))
 
 
 def prepare_prompts(sources: DataFrame, templates: DataFrame, **options) -> DataFrame:
@@ -39,28 +42,31 @@ def _rank_and_render(scored: DataFrame, templates: DataFrame, options: dict) ->
 
 
 def ready_and_prompts(
-    sources: DataFrame, templates: DataFrame, **options
+    sources: DataFrame, templates: DataFrame, strict: bool = False, **options
 ) -> tuple[DataFrame, DataFrame]:
-    """The ranked review table and the ranked prompt table."""
-    ranked = _rank_and_render(score_sources(sources), templates, options)
+    """The ranked review table and the ranked prompt table; ``strict`` as in ``score_sources``."""
+    ranked = _rank_and_render(score_sources(sources, strict), templates, options)
     return ready_projection(ranked), prompts_projection(ranked)
 
 
 def run_and_write(
-    sources: DataFrame, templates: DataFrame, ready_path: str, prompts_path: str, **options
+    sources: DataFrame,
+    templates: DataFrame,
+    ready_path: str,
+    prompts_path: str,
+    strict: bool = False,
+    **options,
 ) -> bool:
     """Write both tables as CSV; False, with nothing written, for an empty source.
 
-    The deduplicated, scored rows are kept on the executors' disks between the
-    two writes.
+    The deduplicated, scored rows are staged for the two writes, where they outlive lost
+    executors, and deleted after them. ``strict`` as in ``score_sources``.
     """
     if sources.isEmpty():
         return False
-    scored = score_sources(sources).persist(StorageLevel.DISK_ONLY)
-    try:
-        ranked = _rank_and_render(scored, templates, options)
-        write_csv(ready_projection(ranked), ready_path)
-        write_csv(prompts_projection(ranked), prompts_path)
-    finally:
-        scored.unpersist()
+    scored = stage(score_sources(sources, strict), "scored-sources")
+    ranked = _rank_and_render(scored, templates, options)
+    write_csv(ready_projection(ranked), ready_path)
+    write_csv(prompts_projection(ranked), prompts_path)
+    discard(scored)
     return True

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -43,6 +43,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+    """A staged table with its ``rows`` and other sums, observed while it is written, so that no scan counts them."""
+    seen = Observation(name)
+    counts = {"rows": F.count(F.lit(1)), **metrics}
+    staged = stage(df.observe(seen, *[c.cast("long").alias(k) for k, c in counts.items()]), name)
+    return staged, {k: v or 0 for k, v in seen.get.items()}
+
+
 def discard(staged: DataFrame) -> None:
     """Delete a staged table that nothing will read again; other tables are left alone.
 

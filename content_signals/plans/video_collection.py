@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from content_signals.constants import ORD, PAGE_SIZE, SEARCH_PAGE_QUOTA
 from content_signals.operators.dedup import dedup_video_ids, distinct_ids, keep_first, top_n_per_query
 from content_signals.operators.requests import search_pages_read
+from content_signals.operators.sinks import write_telemetry
 from content_signals.operators.videos import (
     attribute_query,
     normalize_videos,
@@ -18,7 +20,7 @@ from content_signals.operators.videos import (
     valid_items_filter,
 )
 from content_signals.plans.skew import lookup_join
-from content_signals.plans.staging import stage
+from content_signals.plans.staging import stage, stage_counted
 
 
 @dataclass
@@ -28,6 +30,7 @@ class Collection:
     videos: DataFrame
     stats: DataFrame
     summary: DataFrame
+    started_at: datetime
 
 
 def collect_videos(
@@ -52,8 +55,10 @@ def collect_videos(
     those of the hits, which leaves out pages without items). Hits without pages count none.
 
     Ids, items and unique videos are staged: the statistics and the summary count
-    them without repeating the limits, the join and the deduplication.
+    them without repeating the limits, the join and the deduplication. The unique videos are
+    counted while they are written.
     """
+    started = datetime.now(timezone.utc)
     taken = top_n_per_query(hits, specs, max_pages)
     ids = stage(distinct_ids(taken, ["query"]), "video-ids")
     # One row per (query, id) on the left and one per id on the right: no key is hot.
@@ -69,7 +74,8 @@ def collect_videos(
         .withColumn(ORD, F.struct(F.col("_query_ord").alias("query"), F.col(ORD).alias("row")))
         .drop("_query_ord")
     )
-    unique = stage(dedup_video_ids(ordered), "videos")
+    titled = F.count_if(F.coalesce("title", F.lit("")) != "")
+    unique, counts = stage_counted(dedup_video_ids(ordered), "videos", titled=titled)
     kept = quality_filter(unique, keep)
     final = rescore(kept) if rescore else kept
 
@@ -88,13 +94,19 @@ def collect_videos(
         {
             "queries": specs,
             "global_ids_collected": ids.select("id").distinct(),
-            "rows_after_dedup": unique,
-            "rows_after_quality_filter": kept,
-            "rows_final": final,
+            "rows_after_dedup": F.lit(counts["rows"]),
+            "rows_after_quality_filter": kept if keep else F.lit(counts["titled"]),
+            "rows_final": final if keep or rescore else F.lit(counts["titled"]),
             "api_search_calls": calls,
             "api_videos_calls": sent["calls"],
             "cache_hits": zero if cache_hits is None else cache_hits,
             "quota_units_estimated": calls * SEARCH_PAGE_QUOTA + sent["ids"],
         }
     )
-    return Collection(final, query_stats(items, specs), summary)
+    return Collection(final, query_stats(items, specs), summary, started)
+
+
+def write_collection(collection: Collection, path: str) -> tuple[str, str]:
+    """Write a run's account below ``path``, with the time when it began and that of the writing."""
+    finished = datetime.now(timezone.utc)
+    return write_telemetry(collection.stats, collection.summary, path, collection.started_at, finished)
