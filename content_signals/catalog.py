@@ -578,7 +578,7 @@ def ready_flags(spark, sf_dir):
 
 @query
 def render_prompt_legacy(spark, sf_dir):
-    rows = n.resolve_content_url(t.sources(spark, sf_dir))
+    rows = n.resolve_content_url(t.legacy_sources(spark, sf_dir))
     out = p.render_prompt_legacy(rows, templates.legacy_default_templates(spark))
     return _docs(out, "final_prompt", "prompt_generated", "content_ready")
 

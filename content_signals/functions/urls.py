@@ -11,6 +11,7 @@ from pyspark.sql import Column, functions as F
 from content_signals.constants import SITE_BASE, WATCH_PREFIX
 from content_signals.functions.text import trim_ws
 
+# The shapes of watch, short and channel links, of which an id has at least six characters.
 _WATCH_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?/watch(?:;[^/?#]*)?(?:[?#]|$)"
 _SHORT_LINK = r"(?:youtu\.be/|/shorts/)([A-Za-z0-9_-]{6,})"
 _CHANNEL = r"/channel/([A-Za-z0-9_-]+)"

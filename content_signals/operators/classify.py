@@ -51,6 +51,7 @@ def infer_niche(
 
 def priority_score(df: DataFrame) -> DataFrame:
     """``priority_score``: 30 plus bonuses for niche, language and rights, within 0..100."""
+    # The base, the bonuses and the bounds.
     rights = (
         F.when(F.col("rights") == "FREE_REPOST", 20)
         .when(F.col("rights") == "REWRITE_REQUIRED", 10)

@@ -8,6 +8,7 @@ from content_signals.constants import WATCH_PREFIX
 from content_signals.functions.html import anchors
 from content_signals.functions.urls import canonical_watch_url
 
+# What a watch link holds, and how its id looks in raw text.
 WATCH_LINK = "/watch?v="
 _RAW_WATCH_ID = r"/watch\?v=([A-Za-z0-9_-]{6,})"
 

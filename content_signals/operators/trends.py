@@ -205,7 +205,7 @@ def trend_score(
 
 
 def priority_level(df: DataFrame) -> DataFrame:
-    """Add ``priority_level`` from ``trend_score``."""
+    """Add ``priority_level`` from ``trend_score``; both thresholds are fixed values."""
     score = F.col("trend_score")
     return df.withColumn(
         "priority_level",

@@ -632,8 +632,12 @@ _LEGACY_TEXT = " || chr(10) || chr(10) || ".join(
             f"CASE lower(usage_strategy) WHEN 'education' THEN {_q(LEGACY_GOALS['education'])}"
             f" ELSE {_q(LEGACY_GOALS['viral'])} END",
         ),
-        # none of the test rights is one of the legacy names, so all of them are rewritten
-        ("TRANSFORMATION RULE", _q(LEGACY_LEVELS["rewrite"])),
+        # of the five test rights the second and third name a level, the others are rewritten
+        (
+            "TRANSFORMATION RULE",
+            f"CASE ord % 5 WHEN 1 THEN {_q(LEGACY_LEVELS['summary'])} WHEN 2 THEN {_q(LEGACY_LEVELS['none'])}"
+            f" ELSE {_q(LEGACY_LEVELS['rewrite'])} END",
+        ),
         ("NICHE", "niche"),
         ("SOURCE URL", "source_url"),
         ("LANGUAGE", "lang"),

@@ -55,6 +55,7 @@ def _div(key: Column, n: int) -> Column:
 NICHES = ["", "business", " Health ", "MOTIVATION", "self-help", "o'neil story"]
 STRATEGIES = ["viral", "Education", "inspiration", "unknown", ""]
 MANUAL_SCORES = ["", "92", "abc", " 45.7 ", "-5", "1e12", "92f"]
+LEGACY_RIGHTS = ["rewrite_required", " SUMMARY_ONLY ", "original_allowed", "FREE_REPOST", ""]
 KEYWORDS = ["business", "Fitness", "histoire", "tutorial", ""]
 URL_STEMS = [
     "https://www.youtube.com/watch?v=video_",
@@ -101,6 +102,11 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def legacy_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources whose rights bear the earlier names, some of them unknown."""
+    return sources(spark, sf_dir).withColumn("rights", _pick(F.col(ORD), LEGACY_RIGHTS))
+
+
 def keyword_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources without a given niche on most rows, and with raw text to tell it from."""
     key = F.col("doc_id")
