@@ -1,7 +1,7 @@
 """Benchmark passages in documents, also reworded ones, by latent semantic retrieval.
 
 Passages become TF-IDF vectors over hashed words. A randomised SVD, worked out by Spark
-tasks over a sample of documents, gives the latent space; inverse document frequencies are
+tasks over every distinct text, gives the latent space; inverse document frequencies are
 counted over all documents. Every document's overlapping windows are then compared with
 the benchmark's by cosine; candidates are confirmed by the longest common subsequence of
 words, and by whether the item's last sentence, its answer, is there too.
@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from content_signals.llm.common import as_bytes, bounded_sample, slices, stage
@@ -23,8 +24,6 @@ from content_signals.llm.hashing import Words, chunks
 
 BUCKETS = 1 << 15
 RANK, OVERSAMPLE = 48, 8
-#: Bound of the sample that the SVD is fitted on; every document is searched.
-MAX_FIT_DOCUMENTS = 8_000
 #: Words of a passage in the statistics, and of a window in the search; windows overlap by half.
 PASSAGE = 32
 WINDOW, STRIDE = 16, 8
@@ -41,9 +40,12 @@ MIN_COMMON, MIN_COMMON_WITH_ANSWER, MIN_ANSWER = 0.7, 0.55, 0.8
 #: Benchmark text, and items, sent to the tasks at once; more are searched for in further passes.
 BLOCK_BYTES, BLOCK_ITEMS = 1 << 20, 1 << 13
 _SLICE_BYTES = 4 << 20
-_FIT_TASKS = 8
+#: In the fit, buckets' bytes read and terms multiplied at once, and passages of one task, whose sum is as large
+#: whatever it reads.
+_TERM_BYTES, _TERMS_AT_ONCE = 1 << 20, 1 << 13
+_FIT_TASKS, _PASSAGES_PER_TASK = 8, 1 << 18
 _WINDOWS_AT_ONCE, _ITEMS_AT_ONCE, _CELLS = 2048, 64, 1 << 22
-_ROWS_PER_BLOCK = 1024
+_ROWS_PER_BLOCK = 128
 
 #: ASCII other than letters and digits becomes a blank, the rest stays.
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -66,90 +68,125 @@ def _cut(first: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
     return first[:-1][doc] + place * step, doc
 
 
-def _terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(passage, bucket, times) of the distinct words of all passages, by passage; passages."""
+def _terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per passage its document and how many distinct words it has; of these, by passage, bucket and times."""
     w = Words(texts)
-    starts, _ = _cut(w.first, PASSAGE)
+    starts, doc = _cut(w.first, PASSAGE)
     passage = np.zeros(len(w.hashes), np.int64)
     passage[starts[1:]] = 1
     keys = np.sort(np.cumsum(passage) * BUCKETS + _buckets(w.hashes))
     new = np.flatnonzero(np.diff(keys, prepend=-1))
     times = np.diff(np.append(new, len(keys)))
-    return keys[new] // BUCKETS, keys[new] % BUCKETS, times, len(starts)
+    return doc, np.bincount(keys[new] // BUCKETS, minlength=len(starts)), keys[new] % BUCKETS, times
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many passages of all documents each bucket stands, and the number of passages."""
+def _passages(texts: DataFrame) -> DataFrame:
+    """(hash, sizes, buckets, times) of every text that has words: its passages' terms, 3 bytes each."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(BUCKETS + 1, np.int64)  # the last one counts passages
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE_BYTES):
             texts = [plain(t) for t in as_bytes(batch.column("text"))]
             for a, b in chunks(texts):
-                _, bucket, _, passages = _terms(texts[a:b])
-                found[:-1] += np.bincount(bucket, minlength=BUCKETS)
-                found[-1] += passages
+                doc, sizes, bucket, times = _terms(texts[a:b])
+                passages = np.cumsum(np.bincount(doc, minlength=b - a)).tolist()
+                terms = np.cumsum(np.bincount(doc, sizes, minlength=b - a)).astype(np.int64).tolist()
+                columns = [(sizes.astype(np.uint8), passages), (bucket.astype(np.uint16), terms), (times.astype(np.uint8), terms)]
+                packed = [[c[i:j].tobytes() for i, j in zip([0, *ends], ends)] for c, ends in columns]
+                arrays = [batch.column("hash").slice(a, b - a), *(pa.array(c, pa.binary()) for c in packed)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["hash", "sizes", "buckets", "times"])
+
+    schema = "hash long, sizes binary, buckets binary, times binary"
+    return texts.select("hash", "text").mapInArrow(run, schema).filter("octet_length(sizes) > 0")
+
+
+def _unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
+    columns = (("sizes", np.uint8), ("buckets", np.uint16), ("times", np.uint8))
+    return [np.frombuffer(b"".join(batch.column(c).to_pylist()), kind) for c, kind in columns]
+
+
+def document_frequencies(passages: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many passages, copies counted, each bucket stands, and the number of passages."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(BUCKETS + 1, np.int64)  # the last one counts passages
+        for batch in slices(batches, "buckets", _TERM_BYTES):
+            _, bucket, _ = _unpacked(batch)
+            copies = np.asarray(batch.column("copies"), np.int64)
+            terms = pc.binary_length(batch.column("buckets")).to_numpy(zero_copy_only=False) // 2
+            found[:-1] += np.bincount(bucket, np.repeat(copies, terms), minlength=BUCKETS).astype(np.int64)
+            found[-1] += int((copies * pc.binary_length(batch.column("sizes")).to_numpy(zero_copy_only=False)).sum())
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["bucket", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n"))
+    counted = passages.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n"))
     out = np.zeros(BUCKETS + 1, np.int64)
     for bucket, n in counted.collect():  # one row per bucket at most
         out[bucket] = n
     return out[:-1], int(out[-1])
 
 
-def _weighted(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Passages as rows of unit length: (row starts, bucket, weight)."""
-    passage, bucket, times, _ = _terms(texts)
-    weight = times * idf[bucket]
-    starts = np.flatnonzero(np.diff(passage, prepend=-1))
-    if len(starts):
-        norm = np.sqrt(np.add.reduceat(weight * weight, starts))
-        weight = weight / np.repeat(np.maximum(norm, 1e-9), np.diff(np.append(starts, len(weight))))
-    return starts, bucket, weight
-
-
-def _products(sample: DataFrame, idf: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``A' A basis`` and ``(A basis)' (A basis)`` for the sample's passages A, summed by Spark tasks."""
+def _sums(starts: np.ndarray, counts: np.ndarray, weight: np.ndarray, row: np.ndarray, of: np.ndarray) -> Iterator[tuple]:
+    """Of stretches of terms the sums of the terms' rows in ``of``, weighed; stretches of one length together."""
+    for count in np.unique(counts).tolist():
+        alike = np.flatnonzero(counts == count)
+        step = max(1, _TERMS_AT_ONCE // count)
+        for k in (alike[i : i + step] for i in range(0, len(alike), step)):
+            terms = starts[k][:, None] + np.arange(count)
+            yield k, (weight[terms][:, None, :] @ np.take(of, row[terms], axis=0))[:, 0]
+
+
+def _add_products(out: np.ndarray, sizes: np.ndarray, bucket: np.ndarray, weight: np.ndarray, basis: np.ndarray) -> None:
+    """Add ``A' A basis`` of some passages, the rows of A, which are brought to unit length."""
+    starts = np.cumsum(sizes) - sizes
+    norm = np.sqrt(np.add.reduceat(weight * weight, starts))
+    weight = weight / np.repeat(np.maximum(norm, 1e-9), sizes)
+    rows = np.empty((len(sizes), basis.shape[1]), np.float32)
+    for k, sums in _sums(starts, sizes, weight, bucket, basis):
+        rows[k] = sums
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order].astype(np.int32), prepend=-1))
+    passage = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+    for k, sums in _sums(cuts, np.diff(np.append(cuts, len(order))), weight[order], passage, rows):
+        out[bucket[order[cuts[k]]]] += sums
+
+
+def _products(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """``A' A basis`` for all passages A, summed by Spark tasks."""
     width = basis.shape[1]
-    shared = sample.sparkSession.sparkContext.broadcast((idf, basis.astype(np.float32)))
+    shared = passages.sparkSession.sparkContext.broadcast((idf.astype(np.float32), basis.astype(np.float32)))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, basis = shared.value
-        out = np.zeros((BUCKETS + width, width))
-        for batch in slices(batches, "text", _SLICE_BYTES):
-            texts = [plain(t) for t in as_bytes(batch.column("text"))]
-            for a, b in chunks(texts):
-                starts, bucket, weight = _weighted(texts[a:b], idf)
-                if not len(starts):
-                    continue
-                rows = np.add.reduceat(weight[:, None] * basis[bucket], starts, axis=0)
-                out[BUCKETS:] += rows.T @ rows
-                row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(bucket))))
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-                out[bucket[order][cuts]] += np.add.reduceat(
-                    weight[order, None] * rows[row[order]], cuts, axis=0
-                )
-        blocks = range(0, len(out), _ROWS_PER_BLOCK)
-        packed = [out[i : i + _ROWS_PER_BLOCK].tobytes() for i in blocks]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(blocks), pa.int32()), pa.array(packed, pa.binary())], names=["at", "part"]
-        )
+        out = np.zeros((BUCKETS, width))
+        for batch in slices(batches, "buckets", _TERM_BYTES):
+            sizes, bucket, times = _unpacked(batch)
+            _add_products(out, sizes.astype(np.int64), bucket, times * idf[bucket], basis)
+        blocks = [i for i in range(0, BUCKETS, _ROWS_PER_BLOCK) if out[i : i + _ROWS_PER_BLOCK].any()]
+        packed = [out[i : i + _ROWS_PER_BLOCK].astype(np.float32).tobytes() for i in blocks]
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names=["at", "part"])
 
     def add(keys: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = sum(np.frombuffer(p) for batch in batches for p in batch.column("part").to_pylist())
+        total = np.zeros(_ROWS_PER_BLOCK * width)
+        for part in (p for batch in batches for p in batch.column("part")):
+            total += np.frombuffer(part.as_buffer(), np.float32)
         yield pa.RecordBatch.from_arrays(
             [pa.array([keys[0].as_py()], pa.int32()), pa.array([total.tobytes()])], names=["at", "part"]
         )
 
-    parts = sample.select("text").mapInArrow(multiply, "at int, part binary")
-    out = np.zeros((BUCKETS + width, width))
+    parts = passages.mapInArrow(multiply, "at int, part binary")
+    out = np.zeros((BUCKETS, width))
     for at, part in parts.groupBy("at").applyInArrow(add, "at int, part binary").collect():
-        rows = np.frombuffer(part).reshape(-1, width)
-        out[at : at + len(rows)] = rows
-    return out[:BUCKETS], out[BUCKETS:]
+        out[at : at + _ROWS_PER_BLOCK] = np.frombuffer(part).reshape(-1, width)
+    shared.destroy()
+    return out
+
+
+def _directions(basis: np.ndarray, product: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first eigenvectors and eigenvalues of ``A' A``, by Nystrom's approximation from its product with a basis."""
+    values, turn = np.linalg.eigh(basis.T @ product)
+    some = values > 1e-9 * max(values.max(), 1e-300)
+    vectors, sizes, _ = np.linalg.svd(product @ (turn[:, some] / np.sqrt(values[some])), full_matrices=False)
+    return vectors[:, :RANK], sizes[:RANK] ** 2
 
 
 @dataclass
@@ -160,32 +197,39 @@ class Space:
     vectors: np.ndarray
 
 
-def fit(docs: DataFrame, max_documents: int = MAX_FIT_DOCUMENTS, seed: int = 11) -> Space:
+def fit(docs: DataFrame, max_documents: int | None = None, seed: int = 11) -> Space:
     """The latent space of the texts in ``docs``, with every direction given equal weight.
 
     Null and empty texts count for nothing, other columns are not read; of no texts at all
     comes a space in which every vector is zero, and the search goes by words alone.
 
-    Frequencies are counted over all of ``docs``. The randomised SVD reads at most
-    ``max_documents`` distinct texts, chosen by a hash: random columns are multiplied twice by
-    ``A' A`` and made orthonormal in between (two passes), and a third pass turns the
-    basis towards the singular directions. What comes to the driver is ``BUCKETS`` by
-    ``RANK + OVERSAMPLE`` numbers, whatever the input.
+    Frequencies are counted over all of ``docs``, and the randomised SVD reads every distinct text
+    once; its passages' terms are written to the shared folder first. Random columns are
+    multiplied by ``A' A``, made orthonormal and multiplied again (two passes), which gives the
+    singular directions. What comes to the driver is ``BUCKETS`` by ``RANK + OVERSAMPLE``
+    numbers, whatever the input. A caller who sets ``max_documents`` has the SVD, but not the
+    frequencies, read at most so many distinct texts, chosen by a hash.
     """
-    frequency, passages = document_frequencies(docs)
-    idf = np.log((1 + passages) / (1 + frequency))
-    keyed = docs.filter("text is not null").withColumn("_h", F.xxhash64("text"))
-    hashes = bounded_sample(keyed.select("_h").distinct(), "_h", max_documents, seed)
-    sample = keyed.join(F.broadcast(hashes), "_h", "left_semi").dropDuplicates(["_h"]).select("text")
-    sample = stage(sample.repartition(_FIT_TASKS), "svd-sample")
-    basis = np.random.default_rng(seed).normal(size=(BUCKETS, RANK + OVERSAMPLE))
-    for _ in range(2):
-        basis = np.linalg.qr(_products(sample, idf, basis)[0])[0]
-    values, turn = np.linalg.eigh(_products(sample, idf, basis)[1])
-    top = np.argsort(values)[::-1][:RANK]
-    vectors = idf[:, None] * (basis @ turn[:, top]) / np.sqrt(np.maximum(values[top], 1e-9))
-    none = np.zeros((1, len(top)))  # the last row is no word's
-    return Space(np.append(idf, 0).astype(np.float32), np.vstack([vectors, none]).astype(np.float32))
+    keyed = docs.filter("text is not null").select(F.xxhash64("text").alias("hash"), "text")
+    if max_documents is None:
+        once = [F.first(c).alias(c) for c in ("sizes", "buckets", "times")]
+        distinct = _passages(keyed).groupBy("hash").agg(*once, F.count(F.lit(1)).alias("copies"))
+        passages = stage(distinct, "passages")
+        frequency, total = document_frequencies(passages)
+        passages = passages.coalesce(max(_FIT_TASKS, total // _PASSAGES_PER_TASK))
+    else:
+        frequency, total = document_frequencies(_passages(keyed).withColumn("copies", F.lit(1).cast("long")))
+        hashes = bounded_sample(keyed.select("hash").distinct(), "hash", max_documents, seed)
+        sample = keyed.join(F.broadcast(hashes), "hash", "left_semi").dropDuplicates(["hash"])
+        passages = _passages(stage(sample.repartition(_FIT_TASKS), "svd-sample"))
+    idf = np.log((1 + total) / (1 + frequency))
+    vectors = np.zeros((BUCKETS + 1, RANK))  # the last row is no word's
+    if idf.any():
+        basis = np.random.default_rng(seed).normal(size=(BUCKETS, RANK + OVERSAMPLE))
+        basis = np.linalg.qr(_products(passages, idf, basis))[0]
+        found, values = _directions(basis, _products(passages, idf, basis))
+        vectors[:-1, : len(values)] = idf[:, None] * found / np.sqrt(np.maximum(values, 1e-9))
+    return Space(np.append(idf, 0).astype(np.float32), vectors.astype(np.float32))
 
 
 @dataclass
