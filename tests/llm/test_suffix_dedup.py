@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from content_signals.llm import suffix_dedup
+from content_signals.plans.staging import staging_root
 
 SCHEMA = "doc_id long, text string, row int, i string, packed string"
 
@@ -123,3 +127,74 @@ def test_one_hot_pair_in_every_range(spark):
         assert tuple(got) == (1, 20000, 1, True)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_staged_tables_go_once_they_are_ranked(spark, docs):
+    """What stays is what the result is read from: the packed texts and the ranked positions, runs and strings."""
+    root = staging_root(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    got = suffix_dedup.drop_repeated_bytes(docs, 31)
+    left = collections.Counter(name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before)
+    assert {k: left[k] for k in ("packed-texts", "ranked-pairs", "named-positions", "runs-of-strings", "strings")} == {
+        "packed-texts": 1, "ranked-pairs": 3, "named-positions": 0, "runs-of-strings": 0, "strings": 0
+    }
+    assert got.count() == len(_rows())
+
+
+def test_ranking_leaves_no_shuffle_files_and_no_settings(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = files.getAllFiles()
+        names = (found.apply(i).getName() for i in range(found.size()))
+        return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    before, settings = shuffled(), {k: spark.conf.get(k, None) for k in suffix_dedup._SETTINGS}
+    df = spark.range(5000).selectExpr("id % 900 as a", "7L as b", "id as row", "0 as i").repartition(4, "row")
+    pairs = suffix_dedup._staged(df.groupBy("a", "b", "i").agg(F.max("row").alias("row")), "pairs")
+    assert shuffled() <= before
+    assert pairs.count() == 900
+    assert {k: spark.conf.get(k, None) for k in suffix_dedup._SETTINGS} == settings
+
+
+@pytest.mark.parametrize("run", [1, 16])
+def test_many_texts_are_hashed_together(run):
+    """Runs of many texts come in one batch, with the hashes that each text has by itself."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abc ", k=rng.randint(90, 160))).encode() for _ in range(60)] + [b"a" * 120] * 3
+    kind = pa.struct([(c, pa.int64()) for c in ("start", "n", "place", "group")] + [("settled", pa.bool_())])
+
+    def one(n):
+        start, back = rng.randint(0, 9), rng.randint(0, 30)
+        return {"start": start, "n": n, "place": start + (back if run > 1 else 0), "group": 5, "settled": False}
+
+    listed = [[one(rng.randint(1, 20)) for _ in range(rng.randint(1, 3))] for _ in texts]
+    packed = [zstandard.ZstdCompressor().compress(t) for t in texts]
+
+    def batch(at):
+        columns = [pa.array(list(range(len(texts)))[at]), pa.array(packed[at]), pa.array(listed[at], pa.list_(kind))]
+        return pa.RecordBatch.from_arrays(columns, names=["row", "packed", "listed"])
+
+    def rows(batches):
+        return sorted(tuple(r.values()) for b in batches for r in b.to_pylist())
+
+    together = list(suffix_dedup._hashed(60, run)(iter([batch(slice(None))])))
+    assert len(together) == 1
+    alone = (b for i in range(len(texts)) for b in suffix_dedup._hashed(60, run)(iter([batch(slice(i, i + 1))])))
+    got = rows(together)
+    assert got == rows(alone)
+    covered = collections.Counter((row, s) for _, _, row, i, n, *_ in got for s in range(i, i + n))
+    assert covered == collections.Counter((r, s) for r, l in enumerate(listed) for x in l for s in range(x["start"], x["start"] + x["n"]))
+    by_bytes = collections.defaultdict(set)
+    for _, _, row, i, n, _, _, h1, h2 in got:
+        by_bytes[texts[row][i : i + n - 1 + 60]].add((h1, h2))
+    assert all(len(h) == 1 for h in by_bytes.values()) and len(set.union(*by_bytes.values())) == len(by_bytes)
+
+
+def test_stretches_that_touch_are_one():
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    spans = [[(5, 9), (0, 5)], None, [(0, 4)], [], [(2, 8), (3, 4), (9, 12), (10, 11)]]
+    cuts = pa.array([x and [{"start": s, "end": e} for s, e in x] if x is not None else None for x in spans], kind)
+    found = [c.tolist() for c in suffix_dedup._stretches(cuts)]
+    assert [*zip(*found)] == [(0, 0, 9), (2, 0, 4), (4, 2, 8), (4, 9, 12)]
+    assert [len(c) for c in suffix_dedup._stretches(pa.array([None, []], kind))] == [0, 0, 0]
